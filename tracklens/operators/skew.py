@@ -1,4 +1,5 @@
-"""Equi joins that hold up when one key owns a large share of the rows.
+"""Spreading work: equi joins that hold up when one key owns a large share of
+the rows, and inputs with fewer splits than there are cores.
 
 A side small enough for Spark's own broadcast threshold needs no care: the rows
 of the other side stay where they are. Beyond that size the join shuffles, and
@@ -23,11 +24,15 @@ _LEFT_SALT = "__left_salt"
 _RIGHT_SALT = "__right_salt"
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate from file sizes; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark's own size estimate lets it broadcast ``df``; runs no job."""
+    """True when Spark's own size estimate lets it broadcast ``df``."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= conf.autoBroadcastJoinThreshold()
+    return _estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
 
 
 def heavy_keys(
@@ -142,3 +147,15 @@ def expand_counts(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
         .select(*rest, F.explode(F.sequence(F.lit(1), F.col("__size"))).alias("__copy"))
         .drop("__copy")
     )
+
+
+def use_all_cores(df: DataFrame, bytes_per_core: int = 32 * 1024 * 1024) -> DataFrame:
+    """``df``, dealt out anew if it is too small to occupy every core by itself.
+
+    Meant before costly per-row work on small inputs, whose few row groups would
+    leave most cores idle. An input with more than ``bytes_per_core`` for each
+    core has splits enough: it stays where it is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    small = _estimated_bytes(df) < cores * bytes_per_core
+    return df.repartition(cores) if small else df

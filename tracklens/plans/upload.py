@@ -12,7 +12,7 @@ from tracklens.sources.writers import write_daily
 
 
 def track_metrics(transcripts: DataFrame) -> DataFrame:
-    """The nine metric columns of (track_id, text, segments) transcripts."""
+    """The nine metric columns of (track_id, text, segments) transcripts; map-only."""
     return segment_metrics(transcripts)
 
 

@@ -254,18 +254,26 @@ def _over_metrics(sql: str) -> str:
     return f"WITH {_NESTED} {sql}"
 
 
-for _name in ("segment_metrics", "track_metrics", "cast_metrics_fixed"):
-    oracle(_name, _over_metrics("SELECT * FROM metrics"), "transcripts")
-oracle(
-    "cast_metrics_faithful",
-    _over_metrics(
-        """SELECT * REPLACE (CAST(trunc(total_duration) AS INTEGER) AS total_duration)
-           FROM metrics"""
-    ),
-    "transcripts",
+# The daily table has INT where the metrics are BIGINT.
+_INTS = ", ".join(
+    f"CAST({c} AS INTEGER) AS {c}"
+    for c in (
+        "track_id",
+        "text_length",
+        "all_seg_cnt",
+        "nsp06_seg_cnt",
+        "nsp06_word_cnt",
+        "nsp06_unique_word_cnt",
+    )
 )
+_LOADED = f"SELECT * REPLACE ({_INTS}) FROM metrics"
+_CUT = f"SELECT * REPLACE ({_INTS}, CAST(trunc(total_duration) AS INTEGER) AS total_duration) FROM metrics"
+for _name in ("segment_metrics", "track_metrics"):
+    oracle(_name, _over_metrics("SELECT * FROM metrics"), "transcripts")
+oracle("cast_metrics_fixed", _over_metrics(_LOADED), "transcripts")
+oracle("cast_metrics_faithful", _over_metrics(_CUT), "transcripts")
 for _name in ("upload_metrics", "ensure_metrics_table"):
-    oracle(_name, _over_metrics(f"SELECT *, '{DAY}' AS yyyymmdd FROM metrics"), "transcripts")
+    oracle(_name, _over_metrics(f"SELECT *, '{DAY}' AS yyyymmdd FROM ({_LOADED})"), "transcripts")
 oracle(
     "metrics_csv",
     _over_metrics(

@@ -13,6 +13,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracklens.operators import use_all_cores
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -131,12 +133,18 @@ def _uses(text: str) -> list[str]:
     return [n for n in [*TABLES, *SPARK_VIEWS] if "{" + n + "}" in text]
 
 
+@cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or one of the views above, as a DataFrame."""
+    """A given table, or one of the views above, as a DataFrame.
+
+    Kept per session, so file footers are read and views analysed only once.
+    """
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = SPARK_VIEWS[name]
     parts = {n: table(spark, sf_dir, n) for n in _uses(text)}
+    if name == "transcripts":
+        parts["documents"] = use_all_cores(parts["documents"])
     return spark.sql(text.replace("ARR(", "array("), **parts)
 
 
