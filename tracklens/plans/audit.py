@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +28,13 @@ class Audit:
     def counts(self) -> dict[str, int]:
         """The counts so far, in stage order; call after the write."""
         for name, observation in self._observed.items():
-            self._known[name] = int(observation.get["n"])
+            try:
+                self._known[name] = int(observation.get["n"])
+            except Py4JJavaError:
+                # Spark drops a stage from the plan, and its observation with
+                # it, when the rows coming in turn out to be none.
+                self._known[name] = 0
+        self._observed.clear()
         return dict(self._known)
 
     def frame(self, spark: SparkSession) -> DataFrame:

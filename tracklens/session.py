@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -30,6 +31,11 @@ def apply_runtime_options(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tracklens-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, never reused folder below the one shared by all executors.
 
@@ -42,6 +48,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(
                 "set spark.checkpoint.dir to a folder all executors can reach"
             )
-        root = tempfile.mkdtemp(prefix="tracklens-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -63,14 +63,23 @@ def append_by_name(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
-def replace_via_staging(df: DataFrame, target: str, staging: str) -> None:
+def replace_via_staging(df: DataFrame, target: str, staging: str, how: str = "copy") -> None:
     """Replace ``target`` by rows that are computed from it.
 
     Spark refuses to overwrite a table it is reading, so the rows go to
-    ``staging`` first. The target ends unpartitioned.
+    ``staging`` first. ``copy`` writes them again to ``target`` and leaves
+    ``staging`` as it is; ``rename`` moves the staging table into its place,
+    which writes the rows only once. The target ends unpartitioned.
     """
+    spark = df.sparkSession
     df.write.mode("overwrite").saveAsTable(staging)
-    df.sparkSession.table(staging).write.mode("overwrite").saveAsTable(target)
+    if how == "copy":
+        spark.table(staging).write.mode("overwrite").saveAsTable(target)
+    elif how == "rename":
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    else:
+        raise ValueError(f"unknown way: {how}")
 
 
 def truncate_insert(df: DataFrame, table: str, atomic: bool = True) -> None:
