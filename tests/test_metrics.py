@@ -12,7 +12,7 @@ from tracklens.operators import (
     segment_metrics,
     segment_metrics_long,
     verdict,
-    with_duration_verdict,
+    verdict_by_duration,
 )
 from tracklens.schemas import TRANSCRIPT_SCHEMA
 
@@ -107,7 +107,7 @@ def test_verdicts(spark):
         (2, "", [seg(0.0, 20.0, "", 0.9), seg(30.0, 30.5, "", 0.9)]),
         (3, "", None),
     ]
-    judged = with_duration_verdict(spark.createDataFrame(rows, TRANSCRIPT_SCHEMA))
+    judged = verdict_by_duration(spark.createDataFrame(rows, TRANSCRIPT_SCHEMA))
     assert [r["verdict"] for r in judged.collect()] == [False, True, False]
 
 

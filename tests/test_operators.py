@@ -195,3 +195,9 @@ def test_scoring_keeps_null_keys_and_arrays(spark):
         "(1, 3.0, None)",
         "(None, 3.0, None)",
     ]
+
+
+def test_today_has_the_day_format():
+    from tracklens.functions import today
+
+    assert len(today()) == 8 and today().isdigit()

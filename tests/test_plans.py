@@ -109,7 +109,7 @@ def test_refresh_equals_the_plain_joins(spark, no_broadcast, key):
         "after_dedupe": len(rows),
     }
     assert audit.counts() == expected
-    counted = plans.refresh_counts(t["target"], t["track_all"], t["mcp_track"], [7], key)
+    counted = plans.audit_counts(t["target"], t["track_all"], t["mcp_track"], [7], key)
     assert {r["stage"]: r["n"] for r in counted.collect()} == expected
 
 
@@ -118,7 +118,7 @@ def test_refresh_of_empty_tables(spark):
     audit = plans.Audit()
     got = plans.refresh_target(t["target"], t["track_all"], t["mcp_track"], [7], audit=audit)
     assert got.collect() == [] and set(audit.counts().values()) == {0}
-    counted = plans.refresh_counts(t["target"], t["track_all"], t["mcp_track"], [7])
+    counted = plans.audit_counts(t["target"], t["track_all"], t["mcp_track"], [7])
     assert {r["n"] for r in counted.collect()} == {0}
 
 
@@ -208,7 +208,7 @@ def test_two_days_in_a_row(spark, database):
         )
 
     root = scratch_dir(spark, "days")
-    first = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, "20240101", root, transcribe).collect()}
+    first = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, root, transcribe, "20240101").collect()}
     assert first["selected"] == first["transcribed"] + first["failed"] and first["failed"] > 0
     assert first["uploaded"] == first["transcribed"] == first["source"]
     assert first["after_dedupe"] == spark.table(target).count()
@@ -219,12 +219,12 @@ def test_two_days_in_a_row(spark, database):
     assert errors.count() == first["failed"]
     # The next day picks only what failed, or was taken out by the refresh.
     before = {r["track_id"] for r in spark.table(target).collect()}
-    plans.run_daily(spark, tables, "20240102", root, transcribe)
+    plans.run_daily(spark, tables, root, transcribe, "20240102")
     again, _ = sources.read_work_list(spark, f"{root}/20240102/work_list")
     assert before.isdisjoint(r["track_id"] for r in again.collect())
     assert {r["track_id"] for r in spark.table(target).collect()} == before
     # A day with nothing to choose still refreshes and publishes.
     tables.threshold = 2.0
-    idle = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, "20240103", root, transcribe).collect()}
+    idle = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, root, transcribe, "20240103").collect()}
     assert idle["selected"] == 0 and "uploaded" not in idle
     assert idle["after_dedupe"] == len(before)

@@ -1,3 +1,6 @@
+from datetime import datetime
+from zoneinfo import ZoneInfo
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,3 +10,8 @@ from tracklens.constants import RUN_TIME_ZONE
 def run_date(utc_ts: Column, zone: str = RUN_TIME_ZONE) -> Column:
     """The ``YYYYMMDD`` day on which a UTC timestamp falls in ``zone``."""
     return F.date_format(F.from_utc_timestamp(utc_ts, zone), "yyyyMMdd")
+
+
+def today(zone: str = RUN_TIME_ZONE) -> str:
+    """The current day in ``zone`` as ``YYYYMMDD``."""
+    return datetime.now(ZoneInfo(zone)).strftime("%Y%m%d")

@@ -9,11 +9,11 @@ def at_least_flag(value: Column, threshold: int) -> Column:
     return F.when(value >= threshold, "Y").otherwise("N")
 
 
-def verdict_by_words(unique_words: Column, threshold: int = VERDICT_UNIQUE_WORDS) -> Column:
+def words_verdict(unique_words: Column, threshold: int = VERDICT_UNIQUE_WORDS) -> Column:
     return unique_words >= threshold
 
 
-def verdict_by_duration(segments: Column, seconds: float = VERDICT_SPEECH_SECONDS) -> Column:
+def duration_verdict(segments: Column, seconds: float = VERDICT_SPEECH_SECONDS) -> Column:
     """True when all segments together last longer than ``seconds``."""
     total = F.aggregate(
         F.coalesce(segments, F.array()),

@@ -22,8 +22,8 @@ from tracklens.operators.filters import (
     stat_projection,
     tier_flags,
     verdict,
+    verdict_by_duration,
     with_day,
-    with_duration_verdict,
     with_role,
     with_run_date,
     without_lyrics,

@@ -19,7 +19,7 @@ from tracklens.constants import (
     VERDICT_UNIQUE_WORDS,
     VOCAL_ROLE,
 )
-from tracklens.functions import at_least_flag, run_date, verdict_by_duration, verdict_by_words
+from tracklens.functions import at_least_flag, duration_verdict, run_date, words_verdict
 
 
 def min_popularity(df: DataFrame, threshold: float = MIN_POP_SCORE) -> DataFrame:
@@ -154,10 +154,10 @@ def stat_projection(
 
 def verdict(df: DataFrame, threshold: int = VERDICT_UNIQUE_WORDS) -> DataFrame:
     words = F.col("nsp06_unique_word_cnt")
-    return df.withColumn("verdict", verdict_by_words(words, threshold))
+    return df.withColumn("verdict", words_verdict(words, threshold))
 
 
-def with_duration_verdict(
+def verdict_by_duration(
     df: DataFrame, seconds: float = VERDICT_SPEECH_SECONDS
 ) -> DataFrame:
-    return df.withColumn("verdict", verdict_by_duration(F.col("segments"), seconds))
+    return df.withColumn("verdict", duration_verdict(F.col("segments"), seconds))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 # The sketch tracks this many keys, and at most this many are ever returned, so
 # the list brought to the driver is bounded whatever the table's size.
-_TRACKED = 10_000
+_TRACKED = 4_096
 _RETURNED = 1_000
 
 _RIGHT_KEY = "__right_key"

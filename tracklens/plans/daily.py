@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tracklens.constants import EXCLUDED_STYLE_IDS, MIN_POP_SCORE
+from tracklens.functions import today
 from tracklens.operators.scoring import split_errors
 from tracklens.plans.audit import Audit
 from tracklens.plans.create import create_candidates
@@ -40,59 +41,57 @@ class DailyTables:
     threshold: float = MIN_POP_SCORE
     style_ids: Sequence[int] = field(default_factory=lambda: list(EXCLUDED_STYLE_IDS))
     lyric_key: str = "track_id"
+    replace: str = "copy"
 
 
-def run_daily(
-    spark: SparkSession,
-    tables: DailyTables,
-    day: str,
-    root: str,
-    transcribe: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Run one day and return its (stage, n) counts; any failure raises.
-
-    ``transcribe`` turns the work list (track_id) into (track_id, text,
-    segments, error), for instance with ``score_batches``. Files of the run go
-    below ``root``, a folder all executors can reach. The target table exists;
-    the statistics table is created on the first run.
-    """
-    audit = Audit()
-    folder = f"{root.rstrip('/')}/{day}"
-    track_all = read_table(spark, tables.track_all)
-    mcp_track = read_table(spark, tables.mcp_track)
-
+def run_create(spark: SparkSession, tables: DailyTables, path: str, audit: Audit) -> int:
+    """Write the work list of tracks to transcribe; returns how many there are."""
     todo = create_candidates(
-        track_all,
-        mcp_track,
+        read_table(spark, tables.track_all),
+        read_table(spark, tables.mcp_track),
         read_table(spark, tables.target),
         tables.threshold,
         tables.style_ids,
     )
-    selected = write_single_csv(todo, f"{folder}/work_list")
+    selected = write_single_csv(todo, path)
     audit.note("selected", selected)
+    return selected
 
-    if selected:
-        ids, _ = read_work_list(spark, f"{folder}/work_list")
-        # Two outputs follow from the transcripts, which are made only once.
-        scored = materialize(transcribe(ids), folder, "transcripts")
-        ok, errors = split_errors(scored)
-        metrics = audit.stage(track_metrics(ok), "transcribed")
-        metrics.write.mode("overwrite").csv(f"{folder}/metrics", header=True)
-        failed = audit.stage(errors.select("track_id", "error"), "failed")
-        failed.write.mode("overwrite").csv(f"{folder}/errors", header=True)
-        upload_metrics(spark, f"{folder}/metrics", tables.daily, day, audit=audit)
-        append_source(read_table(spark, tables.daily, day), tables.target)
 
+def run_detect(
+    spark: SparkSession,
+    work_list: str,
+    folder: str,
+    transcribe: Callable[[DataFrame], DataFrame],
+    audit: Audit,
+) -> None:
+    """Transcribe the work list into ``folder``/metrics and ``folder``/errors."""
+    ids, _ = read_work_list(spark, work_list)
+    # Two outputs follow from the transcripts, which are made only once.
+    scored = materialize(transcribe(ids), folder, "transcripts")
+    ok, errors = split_errors(scored)
+    metrics = audit.stage(track_metrics(ok), "transcribed")
+    metrics.write.mode("overwrite").csv(f"{folder}/metrics", header=True)
+    failed = audit.stage(errors.select("track_id", "error"), "failed")
+    failed.write.mode("overwrite").csv(f"{folder}/errors", header=True)
+
+
+def run_merge(
+    spark: SparkSession, tables: DailyTables, audit: Audit, source: DataFrame | None = None
+) -> None:
+    """Append ``source`` to the target, rebuild it filtered, publish statistics."""
+    if source is not None:
+        append_source(source, tables.target)
+    mcp_track = read_table(spark, tables.mcp_track)
     refreshed = refresh_target(
         read_table(spark, tables.target),
-        track_all,
+        read_table(spark, tables.track_all),
         mcp_track,
         tables.style_ids,
         tables.lyric_key,
         audit=audit,
     )
-    replace_via_staging(refreshed, tables.target, tables.staging)
-
+    replace_via_staging(refreshed, tables.target, tables.staging, tables.replace)
     statistics = track_statistics(
         read_table(spark, tables.target),
         mcp_track,
@@ -104,4 +103,32 @@ def run_daily(
         truncate_insert(statistics, tables.statistics)
     else:
         create_table_as(statistics, tables.statistics)
+
+
+def run_daily(
+    spark: SparkSession,
+    tables: DailyTables,
+    root: str,
+    transcribe: Callable[[DataFrame], DataFrame],
+    day: str | None = None,
+) -> DataFrame:
+    """Run one day, by default today, and return its (stage, n) counts.
+
+    Any failure raises.
+
+    ``transcribe`` turns the work list (track_id) into (track_id, text,
+    segments, error), for instance with ``score_batches``. Files of the run go
+    below ``root``, a folder all executors can reach. The target table exists;
+    the statistics table is created on the first run. The four parts can also
+    be run one by one.
+    """
+    audit = Audit()
+    day = day or today()
+    folder = f"{root.rstrip('/')}/{day}"
+    source = None
+    if run_create(spark, tables, f"{folder}/work_list", audit):
+        run_detect(spark, f"{folder}/work_list", folder, transcribe, audit)
+        upload_metrics(spark, f"{folder}/metrics", tables.daily, day, audit=audit)
+        source = read_table(spark, tables.daily, day)
+    run_merge(spark, tables, audit, source)
     return audit.frame(spark)

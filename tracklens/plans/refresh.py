@@ -67,7 +67,7 @@ def refresh_target(
     )
 
 
-def refresh_counts(
+def audit_counts(
     target: DataFrame,
     track_all: DataFrame,
     mcp_track: DataFrame,

@@ -12,6 +12,7 @@ from tracklens.sources.readers import (
 from tracklens.sources.writers import (
     append_by_name,
     append_positional,
+    create_metrics_src_table,
     create_table_as,
     ensure_metrics_table,
     materialize,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklens.constants import DAY_COLUMN
+from tracklens.schemas import METRICS_SRC_SCHEMA
 
 
 def write_single_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> int:
@@ -112,6 +113,15 @@ def ensure_metrics_table(spark: SparkSession, table: str) -> None:
     )
 
 
+def create_metrics_src_table(spark: SparkSession, table: str, path: str, sep: str = ",") -> None:
+    """Name the older metric files below ``path`` as an external CSV table."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in METRICS_SRC_SCHEMA)
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING csv "
+        f"OPTIONS (path '{path}', header 'true', delimiter '{sep}')"
+    )
+
+
 def materialize(
     df: DataFrame, root: str, name: str, footprint: bool = True, show_schema: bool = False
 ) -> DataFrame:

@@ -283,11 +283,12 @@ oracle(
     ),
     "transcripts",
 )
-oracle(
-    "metrics_src_csv",
-    _over_metrics("SELECT * RENAME (track_id AS track_id_src) FROM metrics"),
-    "transcripts",
-)
+for _name in ("metrics_src_csv", "metrics_src_table"):
+    oracle(
+        _name,
+        _over_metrics("SELECT * RENAME (track_id AS track_id_src) FROM metrics"),
+        "transcripts",
+    )
 _JUDGED = "SELECT track_id, nsp06_unique_word_cnt >= 28 AS verdict FROM metrics"
 _COUNTED = """SELECT v.verdict, COUNT(j.track_id) AS n
     FROM (VALUES (TRUE), (FALSE)) v(verdict) LEFT JOIN ({judged}) j ON v.verdict = j.verdict

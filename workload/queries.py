@@ -137,7 +137,7 @@ def _(spark, transcripts):
 
 @query("verdict_by_duration", "transcripts")
 def _(spark, transcripts):
-    return ops.with_duration_verdict(transcripts).select("track_id", "verdict")
+    return ops.verdict_by_duration(transcripts).select("track_id", "verdict")
 
 
 @query("run_date", "events")
@@ -203,7 +203,7 @@ def _(spark, genre_map, genre):
 
 @query("audit_counts", "meta_raw", "track_all", "mcp_track")
 def _(spark, meta_raw, track_all, mcp_track):
-    return plans.refresh_counts(meta_raw, track_all, mcp_track, TEST_STYLE_IDS)
+    return plans.audit_counts(meta_raw, track_all, mcp_track, TEST_STYLE_IDS)
 
 
 @query("stage_counts", "track_all", "seen", "transcripts")
@@ -290,6 +290,16 @@ def _(spark, transcripts):
     return sources.read_metrics_src_csv(spark, path)
 
 
+@query("metrics_src_table", "transcripts")
+def _(spark, transcripts):
+    path = scratch_dir(spark, "metrics_src")
+    rows = plans.track_metrics(transcripts).withColumnRenamed("track_id", "track_id_src")
+    rows.write.csv(path, header=True)
+    name = f"{scratch_database(spark)}.metrics_src"
+    sources.create_metrics_src_table(spark, name, path)
+    return sources.read_table(spark, name)
+
+
 @query("track_id_list", "documents")
 def _(spark, documents):
     path = scratch_dir(spark, "ids")
@@ -549,9 +559,9 @@ def _run_day(spark, transcripts, documents, target, *inputs) -> tuple[DataFrame,
     audit = plans.run_daily(
         spark,
         tables,
-        DAY,
         scratch_dir(spark, "daily"),
         lambda ids: ids.join(texts, "track_id"),
+        DAY,
     )
     for view in views.values():
         spark.catalog.dropTempView(view)
