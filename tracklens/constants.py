@@ -29,9 +29,9 @@ DOUBLE_METRICS = ["total_duration", "speech_duration", "speech_ratio"]
 DOUBLE_METRICS_AS_SPELLED = ["total_duaration", "speech_duration", "speech_ratio"]
 DAY_COLUMN = "yyyymmdd"
 
-# A token is a run of anything but white space, where white space is the
-# Unicode set Python's ``str.isspace`` knows, not the ASCII set of Java's \s.
-TOKEN_PATTERN = r"[^\s\x1c-\x1f\x85\p{Z}]+"
+# Words are parted by white space, meaning the Unicode set that Python's
+# ``str.isspace`` knows and not the ASCII set of Java's \s.
+SPACE_PATTERN = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 # --- Audio excerpt ---------------------------------------------------------
 SAMPLE_RATE = 16000

@@ -59,50 +59,40 @@ def segment_metrics_long(segments: DataFrame, tracks: DataFrame | None = None) -
     ``tracks`` (track_id, text) gives the whole texts and names tracks that have
     no segment; without it the text length is that of the segments put together.
 
-    No track's words are brought together in one place: a segment is cut into
-    its distinct words, and the distinct count shuffles on (track, word).
+    No track's words are brought together in one place: they are counted per
+    (track, word), on the map side first, and only those counts and the segments'
+    own numbers meet on the track id, again summed up before they shuffle.
     """
     speech = _is_speech(F.col("no_speech_prob"))
-    words = F.when(speech, tokens(F.coalesce(F.col("text"), F.lit("")))).otherwise(
-        F.array().cast("array<string>")
+    seconds = F.col("end_s") - F.col("start_s")
+    numbers = segments.select(
+        "track_id",
+        "seg_no",
+        "end_s",
+        F.length("text").cast("bigint").alias("chars"),
+        F.when(speech, seconds).alias("spoken"),
+        F.lit(1).alias("segs"),
+        F.when(speech, 1).alias("kept"),
     )
-    per_word = (
-        segments.select(
-            "track_id",
-            "seg_no",
-            F.length("text").cast("bigint").alias("chars"),
-            "end_s",
-            (F.col("end_s") - F.col("start_s")).alias("seconds"),
-            speech.alias("speech"),
-            words.alias("words"),
-        )
-        .select(
-            "track_id",
-            "seg_no",
-            "chars",
-            "end_s",
-            "seconds",
-            "speech",
-            F.size("words").alias("word_cnt"),
-            F.posexplode_outer(F.array_distinct("words")).alias("pos", "word"),
-        )
-        # A segment's own values are counted on its first word row only.
-        .withColumn("head", F.coalesce(F.col("pos"), F.lit(0)) == 0)
+    words = (
+        segments.filter(speech)
+        .select("track_id", F.explode(tokens(F.col("text"))).alias("word"))
+        .groupBy("track_id", "word")
+        .agg(F.count("*").alias("times"))
+        .select("track_id", "times", F.lit(1).alias("uniq"))
     )
-    head = F.col("head")
-    spoken = head & F.col("speech")
-
-    def total(value: Column, when: Column) -> Column:
-        return F.sum(F.when(when, value).otherwise(F.lit(0)))
-
-    grouped = per_word.groupBy("track_id").agg(
-        total(F.col("chars"), head).alias("chars"),
-        F.count_if(head).alias("all_seg_cnt"),
-        F.max_by("end_s", "seg_no").alias("last_end"),
-        F.sum(F.when(spoken, F.col("seconds"))).alias("spoken"),
-        F.count_if(spoken).alias("nsp06_seg_cnt"),
-        total(F.col("word_cnt").cast("bigint"), head).alias("nsp06_word_cnt"),
-        F.countDistinct("word").alias("nsp06_unique_word_cnt"),
+    grouped = (
+        numbers.unionByName(words, allowMissingColumns=True)
+        .groupBy("track_id")
+        .agg(
+            F.sum("chars").alias("chars"),
+            F.sum("segs").alias("all_seg_cnt"),
+            F.max_by("end_s", "seg_no").alias("last_end"),
+            F.sum("spoken").alias("spoken"),
+            F.sum("kept").alias("nsp06_seg_cnt"),
+            F.sum("times").alias("nsp06_word_cnt"),
+            F.sum("uniq").alias("nsp06_unique_word_cnt"),
+        )
     )
     if tracks is not None:
         # Both sides have one row per track here.
