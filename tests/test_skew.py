@@ -50,6 +50,22 @@ def test_many_on_the_right(spark, no_broadcast, how):
     assert bag(salted) == bag(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_heavy_keys_on_both_sides(spark, no_broadcast, how):
+    # 7 is heavy on both sides, 3 on the right only, NULL on the left only.
+    left = facts(spark)
+    right = facts(spark).limit(0).union(
+        spark.range(0, 400).select(
+            F.when(F.col("id") % 2 == 0, 3).when(F.col("id") % 4 == 1, 7).otherwise(F.col("id")), "id"
+        )
+    ).toDF("rk", "w")
+    plain = left.join(right, left.k == right.rk, how).drop("rk")
+    salted = keyed_join(left, right, "k", "rk", how, many="both", salts=8, min_rows=60)
+    assert bag(salted) == bag(plain)
+    like = keyed_join(left, right, "k", "rk", how, "both", left.filter("k = 7"), 8, min_rows=60)
+    assert bag(like) == bag(plain)
+
+
 def test_more_salts_than_heavy_rows(spark, no_broadcast):
     left = spark.createDataFrame([(7, "a"), (8, "b")], "k bigint, n string")
     right = spark.createDataFrame([(7, 1), (7, 2)], "rk bigint, v int")
@@ -58,9 +74,9 @@ def test_more_salts_than_heavy_rows(spark, no_broadcast):
 
 
 def test_heavy_rows_reach_many_sub_keys(spark, no_broadcast):
-    from tracklens.operators.skew import _spread
+    from tracklens.operators.skew import _salted
 
-    spread = _spread(facts(spark), "k", [7, None], 8, "s")
+    spread = _salted(facts(spark), "k", [7, None], [], 8, "s")
     for hot in (F.col("k") == 7, F.col("k").isNull()):
         assert spread.filter(hot).select("s").distinct().count() > 4
     assert spread.filter("k <> 7").select("s").distinct().count() == 1

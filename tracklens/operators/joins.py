@@ -15,7 +15,7 @@ def catalog_join(track_all: DataFrame, mcp_track: DataFrame) -> DataFrame:
     The own id of the second table is kept as ``mcp_track_id``.
     """
     entries = mcp_track.withColumnRenamed("track_id", "mcp_track_id")
-    return keyed_join(track_all, entries, "track_id", "b_track_id", "inner", many="right")
+    return keyed_join(track_all, entries, "track_id", "b_track_id", "inner", many="both")
 
 
 def genre_join(genre_map: DataFrame, genre: DataFrame) -> DataFrame:

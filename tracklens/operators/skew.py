@@ -60,21 +60,23 @@ def _in_list(key: Column, keys: list) -> Column:
     return F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
 
 
-def _spread(df: DataFrame, key: str, hot: list, salts: int, name: str) -> DataFrame:
+def _salted(
+    df: DataFrame, key: str, spread: list, repeat: list, salts: int, name: str
+) -> DataFrame:
+    """``df`` with a sub-key: one of many for keys in ``spread``, every one of
+    them, on a copy each, for keys in ``repeat``, and 0 for all others."""
     # The partition number is part of the hash, so exact copies of a row spread
     # too; it is the same on a retried task, unlike a random number.
-    is_hot = _in_list(F.col(key), hot)
-    if None in hot:
-        is_hot = is_hot | F.col(key).isNull()
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts))
-    return df.withColumn(name, F.when(is_hot, salt).otherwise(F.lit(0)).cast("int"))
-
-
-def _repeat(df: DataFrame, key: str, hot: list, salts: int, name: str) -> DataFrame:
+    one = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)).cast("int")
+    in_spread = _in_list(F.col(key), spread)
+    if None in spread:
+        in_spread = in_spread | F.col(key).isNull()
+    salt = F.when(in_spread, one).otherwise(F.lit(0))
+    if not repeat:
+        return df.withColumn(name, salt)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    return df.withColumn(
-        name, F.explode(F.when(_in_list(F.col(key), hot), every).otherwise(F.array(F.lit(0))))
-    )
+    choice = F.when(_in_list(F.col(key), repeat), every).otherwise(F.array(salt))
+    return df.withColumn(name, F.explode(choice))
 
 
 def keyed_join(
@@ -84,44 +86,50 @@ def keyed_join(
     right_key: str | None = None,
     how: str = "inner",
     many: str = "left",
+    left_like: DataFrame | None = None,
     salts: int = 64,
     share: float = 0.001,
     min_rows: int = 1_000_000,
 ) -> DataFrame:
     """Join on ``left_key = right_key``, keeping only the left key column.
 
-    ``how`` is inner, left, left_semi or left_anti. ``many`` names the side in
-    which one key may repeat without bound; the other has few rows per key.
-    All other column names must differ between the sides.
+    ``how`` is inner, left, left_semi or left_anti. ``many`` names the side
+    (left, right or both) in which one key may repeat without bound.
+    ``left_like`` is a frame in which keys are as frequent as in ``left`` but
+    that costs less to look through. Other column names must differ between the
+    sides.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind: {how}")
-    if many == "right" and how in ("left_semi", "left_anti"):
+    if many not in ("left", "right", "both"):
+        raise ValueError(f"unknown side: {many}")
+    if many != "left" and how in ("left_semi", "left_anti"):
         raise ValueError("reduce the right side to distinct keys instead")
 
     right = right.withColumnRenamed(right_key or left_key, _RIGHT_KEY)
     on = F.col(left_key) == F.col(_RIGHT_KEY)
 
-    hot: list = []
+    left_heavy: list = []
+    right_heavy: list = []
     if not (fits_broadcast(right) or (how == "inner" and fits_broadcast(left))):
-        side, key = (left, left_key) if many == "left" else (right, _RIGHT_KEY)
-        hot = heavy_keys(side, key, share, min_rows)
-
-    if hot and many == "left":
-        left = _spread(left, left_key, hot, salts, _LEFT_SALT)
-        right = _repeat(right, _RIGHT_KEY, hot, salts, _RIGHT_SALT)
-    elif hot:
-        left = _repeat(left, left_key, hot, salts, _LEFT_SALT)
-        right = _spread(right, _RIGHT_KEY, hot, salts, _RIGHT_SALT)
-    if hot:
+        if many != "right":
+            left_heavy = heavy_keys(
+                left if left_like is None else left_like, left_key, share, min_rows
+            )
+        if many != "left":
+            found = heavy_keys(right, _RIGHT_KEY, share, min_rows)
+            right_heavy = [k for k in found if k is not None and k not in left_heavy]
+    if left_heavy or right_heavy:
+        left = _salted(left, left_key, left_heavy, right_heavy, salts, _LEFT_SALT)
+        right = _salted(right, _RIGHT_KEY, right_heavy, left_heavy, salts, _RIGHT_SALT)
         on = on & (F.col(_LEFT_SALT) == F.col(_RIGHT_SALT))
 
     joined = left.join(right, on, how)
-    if hot and many == "right" and how == "left":
+    if right_heavy and how == "left":
         # A heavy key does occur on the right, so a repeated left row that met
         # no partner in its sub-key is not an unmatched row.
         joined = joined.filter(
-            ~(_in_list(F.col(left_key), hot) & F.col(_RIGHT_KEY).isNull())
+            ~(_in_list(F.col(left_key), right_heavy) & F.col(_RIGHT_KEY).isNull())
         )
     return joined.drop(_RIGHT_KEY, _LEFT_SALT, _RIGHT_SALT)
 

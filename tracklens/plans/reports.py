@@ -36,24 +36,31 @@ def track_statistics(
 ) -> DataFrame:
     """Title, vocal artists, genres, lyric flag and word tiers per track.
 
-    ``target`` has one row per track. Genres and catalog entries both join on
-    its id and share one shuffle; only the artists need another key.
+    ``target`` has one row per track, as the refresh leaves it. Genres and
+    catalog entries both join on the track id and share one shuffle unless it
+    has heavy keys; only the artists need another key.
     """
     tracks = target.select("track_id", "nsp06_word_cnt", "nsp06_unique_word_cnt")
-    with_genres = tracks.join(track_genres(genre_map, genre), "track_id", "left")
+    with_genres = keyed_join(tracks, track_genres(genre_map, genre), "track_id", how="left")
     entries = mcp_track.select(
         F.col("track_id").alias("mcp_track_id"), "b_track_id", "track_title", "lyric_yn"
     )
-    titled = keyed_join(with_genres, entries, "track_id", "b_track_id", "left", many="right")
-    vocals = vocal_artists(artists).withColumnRenamed("track_id", "artist_track_id")
-    # Tracks without a catalog entry can meet no artist; a hash in place of the
-    # missing key keeps them from gathering in one task.
-    spread_key = F.coalesce(F.col("mcp_track_id"), F.xxhash64("track_id"))
-    rows = titled.join(
-        vocals,
-        (spread_key == F.col("artist_track_id")) & F.col("mcp_track_id").isNotNull(),
-        "left",
+    # One list of genres per track, so keys are as frequent as before that join.
+    titled = keyed_join(
+        with_genres, entries, "track_id", "b_track_id", "left", many="both", left_like=tracks
     )
+    # Tracks without a catalog entry have no artists; a hash in place of the
+    # missing key keeps them from gathering in one task, and what it may meet by
+    # chance is taken out again.
+    known = F.col("mcp_track_id").isNotNull()
+    rows = keyed_join(
+        titled.withColumn("artist_key", F.coalesce("mcp_track_id", F.xxhash64("track_id"))),
+        vocal_artists(artists),
+        "artist_key",
+        "track_id",
+        "left",
+        left_like=entries.withColumnRenamed("mcp_track_id", "artist_key"),
+    ).withColumn("artist_array", F.when(known, F.col("artist_array")))
     return stat_projection(rows, thresholds)
 
 
@@ -77,7 +84,12 @@ def candidate_report(
         "b_track_id", "track_artist_name_list", "lyric_yn", "sync_lyric_yn"
     )
     rows = keyed_join(
-        tracks.join(genres, "track_id"), entries, "track_id", "b_track_id", "inner", many="right"
+        keyed_join(tracks, genres, "track_id"),
+        entries,
+        "track_id",
+        "b_track_id",
+        many="both",
+        left_like=tracks,
     )
     return rows.select(
         "track_id",
