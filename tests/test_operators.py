@@ -201,3 +201,27 @@ def test_today_has_the_day_format():
     from tracklens.functions import today
 
     assert len(today()) == 8 and today().isdigit()
+
+
+def test_a_scorer_may_return_whole_transcripts(spark):
+    from tracklens import plans
+    from tracklens.schemas import SEGMENT_TYPE
+
+    def make_scorer():
+        def transcribe(row):
+            if len(row["audio"]) == 0:
+                raise ValueError("no audio")
+            # The probability may be missing, and times may be whole numbers.
+            segments = [{"start": 0.0, "end": 2, "text": " La la"}]
+            segments += [{"start": 2.0, "end": 3.5, "text": " x", "no_speech_prob": 0.6}]
+            return {"text": " La la x", "segments": segments, "language": "en"}
+
+        return transcribe
+
+    df = spark.createDataFrame([(1, [0.1]), (2, [])], "track_id bigint, audio array<float>")
+    schema = f"text string, segments array<{SEGMENT_TYPE.simpleString()}>"
+    ok, errors = ops.split_errors(ops.score_batches(df, make_scorer, schema))
+    assert [tuple(r) for r in plans.track_metrics(ok).collect()] == [
+        (1, 8, 2, 3.5, 2.0, 2.0 / 3.5, 1, 2, 1)
+    ]
+    assert [r["error"] for r in errors.collect()] == ["ValueError: no audio"]

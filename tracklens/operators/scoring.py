@@ -28,7 +28,8 @@ def score_batches(
     is loaded where it is used and never shipped. A row whose scoring fails gets
     the message in ``error`` and NULLs elsewhere, and the others go on.
     ``partitions`` deals the rows out anew where scoring is far dearer than
-    reading.
+    reading. Array columns arrive as NumPy arrays; with long ones, set
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that a batch fits memory.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
