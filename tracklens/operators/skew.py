@@ -41,8 +41,11 @@ def heavy_keys(
     """Keys with at least ``share`` of the rows; NULL is listed like any key.
 
     There can be at most ``1 / share`` of them. Keys below ``min_rows`` fit a
-    task anyway and are left out.
+    task anyway and are left out, and a frame too small to hold that many keys
+    by Spark's estimate is not looked through at all.
     """
+    if _estimated_bytes(df) < 8 * min_rows:
+        return []
     found = (
         df.select(F.col(key).alias("k"))
         .agg(
