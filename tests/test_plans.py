@@ -118,6 +118,11 @@ def test_refresh_of_empty_tables(spark):
     audit = plans.Audit()
     got = plans.refresh_target(t["target"], t["track_all"], t["mcp_track"], [7], audit=audit)
     assert got.collect() == [] and set(audit.counts().values()) == {0}
+    # An empty target alone must not hide how many tracks are excluded.
+    tracks = catalog(spark)["track_all"]
+    audit = plans.Audit()
+    plans.refresh_target(t["target"], tracks, t["mcp_track"], [7], audit=audit).collect()
+    assert audit.counts()["excluded"] == ops.excluded_track_ids(tracks, [7]).count() > 0
     counted = plans.audit_counts(t["target"], t["track_all"], t["mcp_track"], [7])
     assert {r["n"] for r in counted.collect()} == {0}
 

@@ -12,12 +12,20 @@ class Audit:
 
     def __init__(self) -> None:
         self._observed: dict[str, Observation] = {}
+        self._recount: dict[str, DataFrame] = {}
         self._known: dict[str, int] = {}
 
-    def stage(self, df: DataFrame, name: str, count: Column | None = None) -> DataFrame:
-        """``df`` itself; its rows (or ``count``) are noted when it first runs."""
+    def stage(
+        self, df: DataFrame, name: str, count: Column | None = None, recount: bool = False
+    ) -> DataFrame:
+        """``df`` itself; its rows (or ``count``) are noted when it first runs.
+
+        With ``recount`` a job counts ``df`` if it turned out not to be needed.
+        """
         observation = Observation(name)
         self._observed[name] = observation
+        if recount:
+            self._recount[name] = df
         self._known[name] = 0
         value = F.count("*") if count is None else F.coalesce(count, F.lit(0))
         return df.observe(observation, value.alias("n"))
@@ -33,7 +41,7 @@ class Audit:
             except Py4JJavaError:
                 # Spark drops a stage from the plan, and its observation with
                 # it, when the rows coming in turn out to be none.
-                self._known[name] = 0
+                self._known[name] = self._recount[name].count() if name in self._recount else 0
         self._observed.clear()
         return dict(self._known)
 
