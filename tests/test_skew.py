@@ -109,6 +109,7 @@ def test_expand_counts(spark):
 
 
 def test_use_all_cores(spark):
-    one = spark.range(0, 100, 1, 1)
+    one = spark.range(0, 1_000_000, 1, 1)
     assert use_all_cores(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert use_all_cores(one, bytes_per_core=1).rdd.getNumPartitions() == 1
+    assert use_all_cores(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1

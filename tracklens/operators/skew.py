@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 _TRACKED = 4_096
 _RETURNED = 1_000
 
+# Less input than this is not worth a task of its own.
+_TASK_BYTES = 256 * 1024
+
 _RIGHT_KEY = "__right_key"
 _LEFT_SALT = "__left_salt"
 _RIGHT_SALT = "__right_salt"
@@ -165,8 +168,10 @@ def use_all_cores(df: DataFrame, bytes_per_core: int = 32 * 1024 * 1024) -> Data
 
     Meant before costly per-row work on small inputs, whose few row groups would
     leave most cores idle. An input with more than ``bytes_per_core`` for each
-    core has splits enough: it stays where it is and is not shuffled.
+    core has splits enough: it stays where it is and is not shuffled. A tiny one
+    gets no more tasks than it can feed.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    small = _estimated_bytes(df) < cores * bytes_per_core
-    return df.repartition(cores) if small else df
+    size = _estimated_bytes(df)
+    tasks = min(cores, size // _TASK_BYTES)
+    return df.repartition(tasks) if tasks > 1 and size < cores * bytes_per_core else df
