@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tracklens.llm.common import column_of, narrow, prepare, raw_texts, stored
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 TREE_FANOUT = 64
 
 

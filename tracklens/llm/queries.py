@@ -7,19 +7,60 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklens.llm import line_dedup, mixing, quality_rules, simhash
+from tracklens.llm import (
+    cover_tree,
+    langid,
+    line_dedup,
+    mixing,
+    quality_rules,
+    ranking,
+    recompression,
+    sentencepiece_fst,
+    simhash,
+    toxicity,
+)
+from tracklens.llm.common import remainder
+
+# The tokenizer model of the encoding query.
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(remainder("doc_id", 4) != 2))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    held = (remainder("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score", "accepted")
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sentencepiece_fst.encode(docs, MODEL_PATH, check=True)
+    return found.select("doc_id", "n_tokens", "tokens", "round_trip")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    weights = toxicity.train(docs, toxicity.learning_rows(labels, "doc_id", 5, 0))
+    found = toxicity.score(docs.select("doc_id", "text"), weights)
+    held = (remainder("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held, "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(_table(spark, sf_dir, "documents"), width=4, radius=4)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op5_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.embedding_components(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality_rules.quality_ledger(_table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -30,6 +71,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    ranker = ranking.train(docs, toxicity.learning_rows(labels, "doc_id", 5, 0))
+    found = ranking.score(docs.select("doc_id", "text"), ranker)
+    held = (remainder("doc_id", 5) == 0).alias("held_out")
+    predicted = (F.col("score") >= ranking.LIMIT).cast("int").alias("predicted")
+    return found.select("doc_id", held, "score", predicted)
+
+
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = recompression.remove_repeats(docs)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
@@ -46,8 +102,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_cover_tree": op5_cover_tree,
     "op6_quality_rules": op6_quality_rules,
+    "op7_ranking": op7_ranking,
+    "op8_recompression": op8_recompression,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }
@@ -58,6 +120,26 @@ _ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE: dict[str, str] = {}
 
+ORACLE["op5_cover_tree"] = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+), usable AS (
+  SELECT vec_id, label, x, sqrt(list_inner_product(x, x)) AS size FROM vectors
+  WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE a.size > 0 AND b.size > 0 AND list_inner_product(a.x, b.x) / (a.size * b.size) >= 0.93
+), reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM vectors
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+), counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(r.b) AS component_id, min(r.b) = vec_id AS kept
+FROM vectors v JOIN reached r ON r.a = v.vec_id LEFT JOIN counted c ON c.a = v.vec_id
+GROUP BY vec_id
+"""
+
 ORACLE["op6_quality_rules"] = rf"""
 WITH base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
@@ -99,6 +181,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM ruled
 """
 
+ORACLE["op8_recompression"] = rf"""
+WITH base AS (
+  SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents
+), spans AS (
+  SELECT r, doc_id, i, list_slice(w, i, i + 19) AS span
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM base WHERE len(w) >= 20)
+), firsts AS (
+  SELECT span, min(struct_pack(d := doc_id, i := i)) AS f FROM spans GROUP BY span HAVING count(*) > 1
+), late AS (
+  SELECT s.r, s.i FROM spans s JOIN firsts f USING (span) WHERE s.doc_id <> f.f.d OR s.i <> f.f.i
+), gone AS (
+  SELECT DISTINCT r, i + k AS i FROM (SELECT r, i, unnest(range(0, 20)) AS k FROM late)
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM base
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM base LEFT JOIN kept k USING (r)
+"""
+
 ORACLE["op9_line_dedup"] = f"""
 WITH split AS (
   SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS no
