@@ -160,12 +160,12 @@ class Chunk:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], most: int, more: str | None = None):
-    """(ids, word lists, further values) of documents with about ``most`` words in all."""
+    """((id, text hash) pairs, word lists, further values) of documents with about ``most`` words."""
     ids, texts, extra, size = [], [], [], 0
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         others = column_of(batch, more).to_pylist() if more else [None] * batch.num_rows
-        docs = column_of(batch, "doc").to_pylist()
+        docs = zip(column_of(batch, "doc").to_pylist(), column_of(batch, "h").to_pylist(), strict=True)
         for doc, packed, other in zip(docs, column_of(batch, "packed").to_pylist(), others, strict=True):
             if more and other is None:
                 continue
@@ -186,7 +186,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _anchors(window: int, rounds: int):
-    """(key, doc, known): symbols that windows point to, each once per chunk and key.
+    """(key, doc, h, known): symbols that windows point to, each once per chunk and key.
 
     What occurs twice within a chunk is known to be shared; then its documents
     are listed at once and a single row stands for the chunk.
@@ -198,30 +198,31 @@ def _anchors(window: int, rounds: int):
             chunk = Chunk(texts, cache, window, rounds)
             at = np.unique(chunk.points[chunk.points >= 0])
             bare = np.unique(chunk.doc[chunk.windows[chunk.points < 0]])
-            docs = np.array(ids, np.int64)
+            docs = np.array(ids, np.int64).reshape(-1, 2)
             key = chunk.key[at] if len(at) else np.zeros(0, np.uint64)
-            doc = docs[chunk.doc[at]]
-            order = np.lexsort((doc, key))
-            key, doc = key[order], doc[order]
+            row = chunk.doc[at]
+            order = np.lexsort((row, key))
+            key, row = key[order], row[order]
             head = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
             same = np.zeros(len(key), bool)
             if len(key):
                 twice = key[1:] == key[:-1]
                 same[1:] |= twice
                 same[:-1] |= twice
-            fresh = same & np.concatenate(([True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else same
+            fresh = same & np.concatenate(([True], (key[1:] != key[:-1]) | (row[1:] != row[:-1]))) if len(key) else same
             keys = np.concatenate((key[head], key[fresh], np.zeros(len(bare), np.uint64)))
-            rows = np.concatenate((doc[head], doc[fresh], docs[bare]))
+            rows = docs[np.concatenate((row[head], row[fresh], bare)).astype(np.int64)]
             known = np.concatenate((np.zeros(head.sum(), bool), np.ones(fresh.sum() + len(bare), bool)))
             yield pa.RecordBatch.from_arrays(
-                [_signed(keys), pa.array(rows), pa.array(known)], names=["key", "doc", "known"]
+                [_signed(keys), pa.array(rows[:, 0]), pa.array(rows[:, 1].astype(np.int32)), pa.array(known)],
+                names=["key", "doc", "h", "known"],
             )
 
     return run
 
 
 def _candidates(window: int, rounds: int):
-    """(h1, h2, doc, pos, len, known): windows that point to a shared symbol, or to none.
+    """(h1, h2, doc, h, pos, len, known): windows that point to a shared symbol, or to none.
 
     Of equal windows within a chunk only the first asks; the others start later, so
     they come back as known runs.
@@ -231,7 +232,7 @@ def _candidates(window: int, rounds: int):
         cache = WordNames()
         for ids, texts, flagged in _chunks(batches, CHUNK_WORDS, "keys"):
             chunk = Chunk(texts, cache, window, rounds)
-            docs = np.array(ids, np.int64)
+            docs = np.array(ids, np.int64).reshape(-1, 2)
             if not len(chunk.windows):
                 continue
             pointed = chunk.points >= 0
@@ -245,31 +246,34 @@ def _candidates(window: int, rounds: int):
                     asked[a:b] |= np.isin(mine, np.array(keys, np.int64).view(np.uint64)) & pointed[a:b]
             chosen = chunk.windows[asked]
             h1, h2 = chunk.window_names(chosen)
-            doc = docs[chunk.doc[chosen]]
-            pos = chosen - chunk.first[chunk.doc[chosen]]
+            row = chunk.doc[chosen]
+            doc, pos = docs[row, 0], chosen - chunk.first[row]
             order = np.lexsort((pos, doc, h2, h1))
-            h1, h2, doc, pos = h1[order], h2[order], doc[order], pos[order]
+            h1, h2, doc, pos, row = h1[order], h2[order], doc[order], pos[order], row[order]
             head = np.ones(len(h1), bool)
             head[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             group = np.flatnonzero(head)[np.cumsum(head) - 1] if len(h1) else head
             later = (doc != doc[group]) | (pos != pos[group]) if len(h1) else head
-            back = np.lexsort((pos[later], doc[later]))
-            kd, kp = doc[later][back], pos[later][back]
-            cut = np.ones(len(kd), bool)
-            cut[1:] = (kd[1:] != kd[:-1]) | (kp[1:] > kp[:-1] + 1)
+            back = np.lexsort((pos[later], row[later]))
+            kr, kp = row[later][back], pos[later][back]
+            cut = np.ones(len(kr), bool)
+            cut[1:] = (kr[1:] != kr[:-1]) | (kp[1:] > kp[:-1] + 1)
             at = np.flatnonzero(cut)
-            ends = np.append(at[1:], len(kd)) - 1
+            ends = np.append(at[1:], len(kr))[: len(at)] - 1
             ask = int(head.sum())
+            owner = docs[np.concatenate((row[head], kr[at])).astype(np.int64)]
+            kd = docs[kr, 0]
             yield pa.RecordBatch.from_arrays(
                 [
                     _signed(np.concatenate((h1[head], kd[at].view(np.uint64)))),
                     _signed(np.concatenate((h2[head], kp[at].astype(np.int64).view(np.uint64)))),
-                    pa.array(np.concatenate((doc[head], kd[at]))),
+                    pa.array(owner[:, 0]),
+                    pa.array(owner[:, 1].astype(np.int32)),
                     pa.array(np.concatenate((pos[head], kp[at])).astype(np.int32)),
                     pa.array(np.concatenate((np.ones(ask, np.int64), kp[ends] - kp[at] + 1)).astype(np.int32)),
                     pa.array(np.concatenate((np.zeros(ask, bool), np.ones(len(at), bool)))),
                 ],
-                names=["h1", "h2", "doc", "pos", "len", "known"],
+                names=["h1", "h2", "doc", "h", "pos", "len", "known"],
             )
 
     return run
@@ -331,7 +335,7 @@ def remove_repeats(
     same document. Windows are judged on the input. Kept words are joined by one space,
     also where nothing goes; null and empty texts become an empty text. Null ids count as
     one document after all others (ids stay below 2**63 - 1). Rows with the same id are
-    one document: of equal rows none is earlier. Other columns pass through; input
+    one document, each judged by its own text: of equal starts none is earlier. Other columns pass through; input
     columns named ``n_words`` or ``n_removed`` are replaced. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
@@ -344,34 +348,37 @@ def remove_repeats(
     inner = [f"c{i}" for i in range(len(fields))]
     place = {f.name: n for f, n in zip(fields, inner, strict=True)}
     rest = [n for n in inner if n != place[text]]
-    plain = base.toDF(*inner).withColumn("doc", F.coalesce(F.col(place[id_name]).cast("long"), F.lit(_LATE)))
+    # The hash of the text tells rows with the same id apart.
+    plain = base.toDF(*inner).withColumns({
+        "doc": F.coalesce(F.col(place[id_name]).cast("long"), F.lit(_LATE)),
+        "h": F.hash(place[text]),
+    })
     kinds = plain.schema
     schema = T.StructType(
-        [kinds[n] for n in [*rest, "doc"]] + [T.StructField("packed", T.BinaryType())]
+        [kinds[n] for n in [*rest, "doc", "h"]] + [T.StructField("packed", T.BinaryType())]
     )
-    packed = plain.mapInArrow(_pack(place[text], [*rest, "doc"]), schema)
-    anchors = packed.select("doc", "packed").mapInArrow(_anchors(window, rounds), "key long, doc long, known boolean")
+    packed = plain.mapInArrow(_pack(place[text], [*rest, "doc", "h"]), schema)
+    texts = packed.select("doc", "h", "packed")
+    anchors = texts.mapInArrow(_anchors(window, rounds), "key long, doc long, h int, known boolean")
     spread = F.when(F.col("known"), F.xxhash64("doc", "key")).otherwise(F.col("key"))
     every = W.partitionBy("known", "slot")
     shared = (
         anchors.withColumn("slot", spread)
         .withColumn("n", F.count(F.lit(1)).over(every))
         .where("known or n > 1")
-        .groupBy("doc").agg(F.collect_set("key").alias("keys"))
-        .withColumnRenamed("doc", "d")
+        .groupBy("doc", "h").agg(F.collect_set("key").alias("keys"))
     )
-    asked = packed.select("doc", "packed").join(shared, F.col("doc") == F.col("d")).drop("d")
+    asked = texts.join(shared, ["doc", "h"])
     found = asked.mapInArrow(
-        _candidates(window, rounds), "h1 long, h2 long, doc long, pos int, len int, known boolean"
+        _candidates(window, rounds), "h1 long, h2 long, doc long, h int, pos int, len int, known boolean"
     )
     first = W.partitionBy("known", "h1", "h2").orderBy("doc", "pos")
     later = (
         found.withColumn("fd", F.first("doc").over(first)).withColumn("fp", F.first("pos").over(first))
         .where("known or doc <> fd or pos <> fp")
-        .groupBy("doc").agg(F.collect_list(F.struct("pos", "len")).alias("runs"))
-        .withColumnRenamed("doc", "d")
+        .groupBy("doc", "h").agg(F.collect_list(F.struct("pos", "len")).alias("runs"))
     )
-    joined = packed.join(later, F.col("doc") == F.col("d"), "left").drop("d")
+    joined = packed.join(later, ["doc", "h"], "left")
     renamed = T.StructType([T.StructField(place.get(f.name, f.name), f.dataType) for f in out.fields])
     names = [place.get(f.name, f.name) for f in out.fields]
     return joined.mapInArrow(_remove(place[text], window, names), renamed).toDF(*out.fieldNames())

@@ -15,20 +15,32 @@ from pyspark.sql import types as T
 from tracklens.llm.common import column_of, prepare, raw_texts, remainder
 from tracklens.llm.samples import labelled_sample, with_texts
 
-SAMPLE_PER_LABEL = 5000
+SAMPLE_PER_LABEL = 2500
 _EDGES = b".,;:!?\"'()[]{}|*#_-<>"
+# A word counts as itself and by its beginnings of so many bytes, for inflected forms.
+BEGINNINGS = (4, 5, 6, 7, 8)
 
 
-class _Words(dict):
-    """Hashes of words without marks at the ends, A-Z in lower case."""
+class Words(dict):
+    """Rows of a table of word hashes: marks at the ends go, A-Z is put into lower case."""
+
+    MOST = 1 << 17
+
+    def __init__(self):
+        self.table = np.zeros((1 << 12, 1 + len(BEGINNINGS)), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word.strip(_EDGES).lower())
-        if len(word) <= 64:
-            if len(self) >= 1 << 18:
-                self.clear()
-            self[word] = value
-        return value
+        row = len(self)
+        if row == len(self.table):
+            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
+        plain = word.strip(_EDGES).lower()
+        own = xxhash.xxh3_64_intdigest(plain)
+        self.table[row] = own
+        for k, size in enumerate(BEGINNINGS, 1):
+            if len(plain) > size:
+                self.table[row, k] = xxhash.xxh3_64_intdigest(plain[:size], size)
+        self[word] = row
+        return row
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -36,16 +48,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
-def features(raw: bytes | None, cache: _Words) -> np.ndarray:
-    """64-bit hashes of a whole text's words, pairs, and pairs with one or two words between."""
+def features(raw: bytes | None, cache: Words) -> np.ndarray:
+    """32-bit hashes of a whole text: words, beginnings, pairs, pairs with one or two words between."""
+    if len(cache) > cache.MOST:
+        cache.clear()
     words = (raw or b"").split()
     n = len(words)
-    h = np.fromiter(map(cache.__getitem__, words), np.uint64, n)
-    parts = [h]
+    rows = np.fromiter(map(cache.__getitem__, words), np.int64, n)
+    table = cache.table[rows]
+    h = table[:, 0]
+    parts = [table.ravel()]
     for gap in (1, 2, 3):
         if n > gap:
             parts.append(_mix(h[:-gap] * np.uint64(0x9E3779B97F4A7C15) + h[gap:] + np.uint64(gap)))
-    return np.concatenate(parts)
+    return (np.concatenate(parts) >> np.uint64(32)).astype(np.uint32)
 
 
 @dataclass
@@ -57,14 +73,14 @@ class Weights:
     bias: float
 
     def __post_init__(self):
-        self.near = np.zeros(1 << 18, bool)
-        self.near[(self.keys >> np.uint64(46)).astype(np.int64)] = True
+        self.near = np.zeros(1 << 16, bool)
+        self.near[self.keys >> np.uint32(16)] = True
 
     def score(self, found: np.ndarray) -> float:
         """Probability for the set of a text's features."""
         total = self.bias
         if len(self.keys):
-            found = found[self.near[(found >> np.uint64(46)).astype(np.int64)]]
+            found = found[self.near[found >> np.uint32(16)]]
             found = np.unique(found)
             at = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
             total += float(self.values[at[self.keys[at] == found]].sum())
@@ -74,18 +90,19 @@ class Weights:
 def fit_ftrl(
     rows: list[np.ndarray],
     labels: np.ndarray,
-    alpha: float = 0.3,
+    alpha: float = 1.0,
     beta: float = 1.0,
-    l1: float = 1.0,
+    l1: float = 3.0,
     l2: float = 0.1,
     epochs: int = 3,
     seed: int = 3,
 ) -> Weights:
     """Per-coordinate FTRL-proximal with L1; features are sets of hashes.
 
-    Classes weigh the same in all. Features of a single row are left out.
+    The intercept starts at the sample's log odds. Features of a single row are left out, and
+    ``l1`` at the number of epochs keeps a single row from giving any feature a weight.
     """
-    every = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+    every = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
     keys, counts = np.unique(every, return_counts=True)
     keys = keys[counts > 1]
     index = []
@@ -94,8 +111,8 @@ def fit_ftrl(
         at[at == len(keys)] = 0
         index.append(at[keys[at] == r] if len(keys) else at[:0])
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
-    positive = max(1, int(labels.sum()))
-    weight = np.where(labels == 1, len(labels) / (2 * positive), len(labels) / (2 * max(1, len(labels) - positive)))
+    positive, rest = int(labels.sum()), int((labels == 0).sum())
+    prior = float(np.log((positive + 0.5) / (rest + 0.5)))
     rng = np.random.default_rng(seed)
 
     def solved(zi, ni):
@@ -107,23 +124,23 @@ def fit_ftrl(
             at = np.append(index[i], len(keys))  # the last coordinate is the intercept
             zi, ni = z[at], n[at]
             w = solved(zi, ni)
-            p = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
-            g = weight[i] * (p - labels[i])
+            p = 1 / (1 + np.exp(-np.clip(prior + w.sum(), -35, 35)))
+            g = p - labels[i]
             step = (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha
             z[at] = zi + g - step * w
             n[at] = ni + g * g
     w = solved(z, n)
     some = np.flatnonzero(w[:-1])
-    return Weights(keys[some], w[some], float(w[-1]))
+    return Weights(keys[some], w[some], prior + float(w[-1]))
 
 
 def _sets():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Words()
+        cache = Words()
         for batch in batches:
-            found = [np.unique(features(r, cache)).view(np.int64) for r in raw_texts(column_of(batch, "text"))]
+            found = [np.unique(features(r, cache)).view(np.int32) for r in raw_texts(column_of(batch, "text"))]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "id"), column_of(batch, "label").cast(pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                [column_of(batch, "id"), column_of(batch, "label").cast(pa.int32()), pa.array(found, pa.list_(pa.int32()))],
                 names=["id", "label", "found"],
             )
 
@@ -147,11 +164,11 @@ def train(
     prepare(docs.sparkSession)
     marked = labels.select(labels[id_name], labels[label]).where(F.col(label).isin(0, 1))
     sample = labelled_sample(marked, id_name, label, sample_per_label, labels=2)
-    table = with_texts(sample, docs, id_name, text, label).mapInArrow(_sets(), "id long, label int, found array<long>")
+    table = with_texts(sample, docs, id_name, text, label).mapInArrow(_sets(), "id long, label int, found array<int>")
     rows = table.toArrow()
     order = np.argsort(np.array(rows.column("id").to_pylist(), np.int64), kind="stable")
     found = rows.column("found").combine_chunks()
-    flat, offsets = found.flatten().to_numpy().view(np.uint64), found.offsets.to_numpy()
+    flat, offsets = found.flatten().to_numpy().view(np.uint32), found.offsets.to_numpy()
     offsets = offsets - offsets[0] if len(offsets) else offsets
     sets = [flat[offsets[i] : offsets[i + 1]] for i in order]
     marks = np.array(rows.column("label").to_pylist(), np.int64)[order]
@@ -160,7 +177,7 @@ def train(
 
 def _scored(weights, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cache = weights.value, _Words()
+        model, cache = weights.value, Words()
         for batch in batches:
             scores = [model.score(features(r, cache)) for r in raw_texts(column_of(batch, text))]
             yield pa.RecordBatch.from_arrays(
