@@ -31,4 +31,6 @@ def spark(tmp_path_factory):
 def database(spark):
     from workload.queries import scratch_database
 
-    return scratch_database(spark)
+    name = scratch_database(spark)
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")

@@ -138,3 +138,16 @@ def test_excerpt_slices_must_fit(spark):
     df = spark.createDataFrame([(1, [1.0])], "track_id bigint, samples array<float>")
     with pytest.raises(ValueError):
         excerpt_thirds(df, "samples", keep_s=60, slice_s=30)
+
+
+def test_a_segment_without_a_time_lasts_no_time(spark):
+    rows = [(1, "x", [seg(0.0, None, "a", 0.1), seg(1.0, 5.0, "b", 0.1)]), (2, "y", [seg(None, 3.0, "c", 0.1)])]
+    nested = spark.createDataFrame(rows, TRANSCRIPT_SCHEMA)
+    long = nested.select("track_id", F.posexplode("segments").alias("seg_no", "s")).select(
+        "track_id", "seg_no", F.col("s.start").alias("start_s"), F.col("s.end").alias("end_s"),
+        F.col("s.text").alias("text"), F.col("s.no_speech_prob").alias("no_speech_prob"),
+    )
+    expected = [(1, 1, 2, 5.0, 4.0, 0.8, 2, 2, 2), (2, 1, 1, 3.0, 0.0, 0.0, 1, 1, 1)]
+    assert sorted(map(tuple, segment_metrics(nested).collect())) == expected
+    assert sorted(map(tuple, segment_metrics_long(long, nested).collect())) == expected
+    assert [r["verdict"] for r in verdict_by_duration(nested, 3.5).collect()] == [True, False]

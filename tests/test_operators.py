@@ -48,11 +48,12 @@ def test_genre_filters_differ_on_longer_ids(spark):
     "mode,expected", [("fixed", [59.98, -3.7, None, 12.0]), ("faithful", [59, -3, None, 12])]
 )
 def test_cast_modes(spark, mode, expected):
-    rows = [("1", "59.98", "0.5"), ("2", "-3.7", "x"), ("x", "abc", None), ("2147483647", "12", "1")]
+    big = "3000000000" if mode == "fixed" else "2147483647"
+    rows = [("1", "59.98", "0.5"), ("2", "-3.7", "x"), ("x", "abc", None), (big, "12", "1")]
     df = spark.createDataFrame(rows, "track_id string, total_duration string, speech_ratio string")
     got = ops.cast_metrics(df, mode=mode).collect()
     assert [r["total_duration"] for r in got] == expected
-    assert [r["track_id"] for r in got] == [1, 2, None, 2147483647]
+    assert [r["track_id"] for r in got] == [1, 2, None, int(big)]
     assert [r["speech_ratio"] for r in got] == [0.5, None, None, 1.0]
     with pytest.raises(ValueError):
         ops.cast_metrics(df, mode="other")
@@ -64,7 +65,7 @@ def test_tiers_treat_null_as_n(spark):
     assert got == [("Y",) * 5, ("N", "N", "N", "Y", "Y"), ("N",) * 5]
 
 
-def test_stat_projection_keeps_long_text_unless_asked(spark):
+def test_stat_projection_keeps_long_text(spark):
     df = spark.createDataFrame(
         [("7", "t" * 150, "a", "g", "N", 3, 2)],
         "track_id string, track_title string, artist_array string, genre_array string,"
@@ -72,7 +73,6 @@ def test_stat_projection_keeps_long_text_unless_asked(spark):
     )
     row = ops.stat_projection(df).first()
     assert row["track_id"] == 7 and len(row["track_title"]) == 150
-    assert len(ops.stat_projection(df, max_len=100).first()["track_title"]) == 100
 
 
 def test_not_processed_ignores_null_on_both_sides(spark):
@@ -124,15 +124,16 @@ def test_artist_lists(spark):
 
 def test_genre_lists(spark):
     pairs = spark.createDataFrame(
-        [(1, 10), (1, 9), (1, 10), (2, 11), (3, 99), (4, None)], "track_id bigint, svc_genre_id bigint"
+        [(1, 10), (1, 9), (1, 10), (2, 11), (3, 99), (4, None), (None, 9)],
+        "track_id bigint, svc_genre_id bigint",
     )
     genre = spark.createDataFrame(
         [(9, "Jazz"), (10, "OST"), (11, None)], "svc_genre_id bigint, svc_genre_nm string"
     )
     lists = {r["track_id"]: r["genre_array"] for r in ops.track_genres(pairs, genre).collect()}
-    assert lists == {1: "Jazz,OST,OST", 2: ""}
+    assert lists == {1: "Jazz,OST,OST", 2: "", None: "Jazz"}
     agg = {r["track_id"]: tuple(r)[1:] for r in ops.genre_listagg(pairs, genre).collect()}
-    assert agg == {1: ("Jazz,OST,OST", "9,10,10"), 2: (None, "11")}
+    assert agg == {1: ("Jazz,OST,OST", "9,10,10"), 2: (None, "11"), None: ("Jazz", "9")}
 
 
 def test_verdict_counts_has_both_verdicts(spark):
@@ -159,10 +160,20 @@ def test_top_tracks_breaks_ties_by_id(spark):
     assert [r["track_id"] for r in ops.top_tracks(df, 2).collect()] == [2, 1]
 
 
-def test_run_date_in_seoul(spark):
-    df = spark.sql("SELECT timestamp'2024-01-01 14:59:59' AS ts UNION ALL SELECT timestamp'2024-01-01 15:00:00'")
-    got = sorted(r["run_date"] for r in ops.with_run_date(df, "ts").collect())
-    assert got == ["20240101", "20240102"]
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "America/Los_Angeles"])
+def test_run_date_in_seoul_under_any_session_zone(spark, zone):
+    # The instants 14:59:59 and 15:00:00 UTC, and one before 1970; then UTC clocks.
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        instants = spark.sql("SELECT timestamp_seconds(x) AS ts FROM VALUES (1704121199), (1704121200), (-1.5) v(x)")
+        assert instants.dtypes == [("ts", "timestamp")]
+        got = sorted(r["run_date"] for r in ops.with_run_date(instants, "ts").collect())
+        assert got == ["19700101", "20240101", "20240102"]
+        clocks = spark.sql("SELECT timestamp_ntz'2024-01-01 14:59:59' AS ts UNION ALL SELECT timestamp_ntz'2024-01-01 15:00:00'")
+        got = sorted(r["run_date"] for r in ops.with_run_date(clocks, "ts").collect())
+        assert got == ["20240101", "20240102"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_scoring_goes_on_after_a_failure(spark):
@@ -179,7 +190,9 @@ def test_scoring_goes_on_after_a_failure(spark):
         return score
 
     df = spark.range(0, 40, 1, 4).select(F.col("id").alias("track_id"), F.col("id").alias("x"))
-    scored = ops.score_batches(df, make_scorer, "y double, made string", partitions=4).cache()
+    scored = ops.score_batches(
+        df, ops.row_by_row(make_scorer), "y double, made string", partitions=4
+    ).cache()
     ok, errors = ops.split_errors(scored)
     assert ids(ok) == [i for i in range(40) if i != 13] and "error" not in ok.columns
     assert [tuple(r) for r in errors.collect()] == [(13, None, None, "RuntimeError: bad track")]
@@ -190,7 +203,8 @@ def test_scoring_goes_on_after_a_failure(spark):
 
 def test_scoring_keeps_null_keys_and_arrays(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (None, [3.0])], "track_id bigint, audio array<double>")
-    scored = ops.score_batches(df, lambda: lambda r: {"total": float(r["audio"].sum())}, "total double")
+    make = ops.row_by_row(lambda: lambda r: {"total": float(r["audio"].sum())})
+    scored = ops.score_batches(df, make, "total double")
     assert sorted(map(repr, map(tuple, scored.collect()))) == [
         "(1, 3.0, None)",
         "(None, 3.0, None)",
@@ -220,8 +234,35 @@ def test_a_scorer_may_return_whole_transcripts(spark):
 
     df = spark.createDataFrame([(1, [0.1]), (2, [])], "track_id bigint, audio array<float>")
     schema = f"text string, segments array<{SEGMENT_TYPE.simpleString()}>"
-    ok, errors = ops.split_errors(ops.score_batches(df, make_scorer, schema))
+    ok, errors = ops.split_errors(ops.score_batches(df, ops.row_by_row(make_scorer), schema))
     assert [tuple(r) for r in plans.track_metrics(ok).collect()] == [
         (1, 8, 2, 3.5, 2.0, 2.0 / 3.5, 1, 2, 1)
     ]
     assert [r["error"] for r in errors.collect()] == ["ValueError: no audio"]
+
+
+def test_scoring_keeps_large_ids_beside_null(spark):
+    seen = "array<struct<id:string,n:string>>"
+    rows = [(9007199254740993, 9007199254740993), (None, None), (5, 7)]
+    df = spark.createDataFrame(rows, "track_id bigint, n bigint").coalesce(1)
+    scored = ops.score_batches(
+        df, lambda: lambda rs: [{"got": [{"id": repr(r["track_id"]), "n": repr(r["n"])}]} for r in rs], f"got {seen}"
+    )
+    got = {r["track_id"]: tuple(r["got"][0]) for r in scored.collect()}
+    assert got == {k: (repr(k), repr(n)) for k, n in rows}
+
+
+def test_a_failing_batch_fails_only_its_bad_rows(spark):
+    def make():
+        def score(records):
+            if any(r["x"] == 3 for r in records):
+                raise RuntimeError("bad batch")
+            return [{"y": "text" if r["x"] == 4 else r["x"]} for r in records]
+
+        return score
+
+    df = spark.range(0, 6, 1, 1).select(F.col("id").alias("track_id"), F.col("id").alias("x"))
+    ok, errors = ops.split_errors(ops.score_batches(df, make, "y bigint"))
+    assert {r["track_id"]: r["y"] for r in ok.collect()} == {0: 0, 1: 1, 2: 2, 5: 5}
+    bad = {r["track_id"]: r["error"] for r in errors.collect()}
+    assert bad[3] == "RuntimeError: bad batch" and bad[4].startswith("ArrowInvalid") and len(bad) == 2

@@ -1,10 +1,14 @@
+import contextlib
+import io
 import random
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from tracklens import operators as ops
 from tracklens import plans, sources
+from tracklens.operators import skew
 from tracklens.session import scratch_dir
 
 
@@ -56,61 +60,85 @@ def catalog(spark, seed=3, n=300):
     }
 
 
-def views(spark, tables):
+def in_files(spark, tables):
+    """The same tables in Parquet files, whose size Spark can tell."""
+    out = {}
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark
+        path = scratch_dir(spark, name)
+        df.write.parquet(path)
+        out[name] = spark.read.parquet(path)
+    return out
 
 
-def test_candidates_equal_the_plain_joins(spark, no_broadcast):
-    t = catalog(spark)
-    plain = views(spark, t).sql(
-        """SELECT a.track_id FROM track_all a JOIN mcp_track m ON a.track_id = m.b_track_id
-           LEFT JOIN done d ON a.track_id = d.track_id
-           WHERE a.pop_score >= 0.2 AND m.lyric_yn = 'N' AND m.sync_lyric_yn = 'N'
-             AND d.track_id IS NULL
-             AND (a.style_id_list IS NULL OR NOT arrays_overlap(a.style_id_list, array(7)))"""
-    )
-    got = plans.create_candidates(t["track_all"], t["mcp_track"], t["done"], style_ids=[7])
-    assert bag(got) == bag(plain) and got.count() > 100
-
-
-PLAIN_REFRESH = """
-    WITH styled AS (
-        SELECT t.* FROM target t LEFT ANTI JOIN
-            (SELECT track_id FROM track_all WHERE arrays_overlap(style_id_list, array(7))) x
-            ON t.track_id = x.track_id),
-    lyric AS (
-        SELECT s.* FROM styled s LEFT JOIN mcp_track m ON s.track_id = m.{key}
-        WHERE coalesce(m.lyric_yn, 'N') = 'N')
-"""
+def plain(df):
+    return [r.asDict() for r in df.collect()]
 
 
+def test_candidates_from_sets_of_ids(spark, no_broadcast):
+    t = catalog(spark)
+    got = plans.create_candidates(t["track_all"], t["mcp_track"], t["done"], style_ids=[7])
+    wanted, silent = Counter(), Counter()
+    for r in plain(t["track_all"]):
+        styles = r["style_id_list"]
+        # Unknown styles beside no hit leave it open whether the track is excluded.
+        fine = styles is None or not (7 in styles or (None in styles))
+        if r["track_id"] is not None and (r["pop_score"] or 0) >= 0.2 and fine:
+            wanted[r["track_id"]] += 1
+    for r in plain(t["mcp_track"]):
+        if r["lyric_yn"] == r["sync_lyric_yn"] == "N":
+            silent[r["b_track_id"]] += 1
+    done = {r["track_id"] for r in plain(t["done"])}
+    expected = Counter({k: n * silent[k] for k, n in wanted.items() if k not in done and silent[k]})
+    assert Counter(r["track_id"] for r in plain(got)) == expected
+    assert sum(expected.values()) > 100 and max(expected.values()) > 9
+
+
+@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("key", ["track_id", "b_track_id"])
-def test_refresh_equals_the_plain_joins(spark, no_broadcast, key):
-    t = catalog(spark, seed=5)
-    plain = PLAIN_REFRESH.format(key=key)
-    keys = views(spark, t).sql(plain + "SELECT DISTINCT track_id FROM lyric WHERE track_id IS NOT NULL")
+def test_refresh_counts_and_rows(spark, key, small):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before if small else "-1")
+    t = in_files(spark, catalog(spark, seed=5))
+    target = plain(t["target"])
+    excluded = {r["track_id"] for r in plain(t["track_all"]) if 7 in (r["style_id_list"] or [])}
+    entries = Counter(r[key] for r in plain(t["mcp_track"]))
+    silent = Counter(r[key] for r in plain(t["mcp_track"]) if r["lyric_yn"] != "Y")
+    # NULL is never equal to NULL, so rows without an id are neither excluded nor matched.
+    styled = [r for r in target if r["track_id"] is None or r["track_id"] not in excluded]
+    times = [
+        1 if r["track_id"] is None or not entries[r["track_id"]] else silent[r["track_id"]]
+        for r in styled
+    ]
+    kept = {r["track_id"] for r, n in zip(styled, times, strict=True) if n} - {None}
     audit = plans.Audit()
     got = plans.refresh_target(t["target"], t["track_all"], t["mcp_track"], [7], key, audit=audit)
     assert got.columns == t["target"].columns
     rows = got.collect()
-    assert sorted(r["track_id"] for r in rows) == sorted(r[0] for r in keys.collect())
+    assert sorted(r["track_id"] for r in rows) == sorted(kept)
     newest = {r["track_id"]: r for r in ops.dedupe_tracks(t["target"]).collect()}
     assert all(newest[r["track_id"]] == r for r in rows)
-    # The audit still reports what the plain joins would have counted.
-    one = spark.sql(plain + "SELECT (SELECT count(*) FROM styled) AS a, (SELECT count(*) FROM lyric) AS b").first()
-    excluded = ops.excluded_track_ids(t["track_all"], [7]).count()
     expected = {
-        "excluded": excluded,
-        "source": t["target"].count(),
-        "after_style": one["a"],
-        "after_lyric": one["b"],
-        "after_dedupe": len(rows),
+        "excluded": len(excluded),
+        "source": len(target),
+        "after_style": len(styled),
+        "after_lyric": sum(times),
+        "after_dedupe": len(kept),
     }
     assert audit.counts() == expected
     counted = plans.audit_counts(t["target"], t["track_all"], t["mcp_track"], [7], key)
     assert {r["stage"]: r["n"] for r in counted.collect()} == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_refresh_sorts_only_what_stays_if_its_sides_are_small(spark):
+    t = in_files(spark, catalog(spark, seed=5))
+    got = plans.refresh_target(t["target"], t["track_all"], t["mcp_track"], [7])
+    got.collect()
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        got.explain("formatted")
+    tree = said.getvalue()
+    assert tree.index("SortAggregate") < tree.index("BroadcastHashJoin")
 
 
 def test_refresh_of_empty_tables(spark):
@@ -127,40 +155,63 @@ def test_refresh_of_empty_tables(spark):
     assert {r["n"] for r in counted.collect()} == {0}
 
 
-PLAIN_STATISTICS = """
-    SELECT t.track_id, m.track_title, v.artist_array, g.genre_array, m.lyric_yn,
-           t.nsp06_word_cnt, t.nsp06_unique_word_cnt
-    FROM one_each t LEFT JOIN mcp_track m ON t.track_id = m.b_track_id
-    LEFT JOIN (SELECT track_id, concat_ws(',', sort_array(collect_list(artist_text))) AS artist_array
-               FROM artists WHERE artist_role_type = 'VOCAL' GROUP BY track_id) v
-        ON m.track_id = v.track_id
-    LEFT JOIN (SELECT track_id, concat_ws(',', sort_array(collect_list(svc_genre_nm))) AS genre_array
-               FROM genre_map JOIN genre USING (svc_genre_id) GROUP BY track_id) g
-        ON t.track_id = g.track_id
-"""
+def listed(names):
+    return ",".join(sorted(n for n in names if n is not None))
 
 
 @pytest.mark.parametrize("salted", [False, True])
-def test_statistics_equal_the_plain_joins(spark, no_broadcast, monkeypatch, salted):
-    if salted:
+def test_statistics_and_report(spark, no_broadcast, monkeypatch, salted):
+    import tracklens.plans.reports as reports
+
+    searched = []
+    search = skew.heavy_keys
+
+    def counting(df, key, *_):
+        searched.append(key)
         # Let a handful of rows count as heavy.
-        import tracklens.operators.skew as skew
+        return search(df, key, 6) if salted else search(df, key)
 
-        plain_search = skew.heavy_keys
-        monkeypatch.setattr(
-            skew, "heavy_keys", lambda df, key, share, min_rows: plain_search(df, key, 0.02, 2)
-        )
+    monkeypatch.setattr(skew, "heavy_keys", counting)
+    monkeypatch.setattr(reports, "heavy_keys", counting)
+    if salted:
+        monkeypatch.setattr(skew.keyed_join, "__defaults__", (None, "inner", "left", None, 6))
     t = catalog(spark, seed=9)
-    t["one_each"] = ops.dedupe_tracks(ops.require_key(t["target"])).drop("yyyymmdd")
-    plain = views(spark, t).sql(PLAIN_STATISTICS)
+    one_each = ops.dedupe_tracks(ops.require_key(t["target"])).drop("yyyymmdd")
     got = plans.track_statistics(
-        t["one_each"], t["mcp_track"], t["artists"], t["genre_map"], t["genre"]
+        one_each, t["mcp_track"], t["artists"], t["genre_map"], t["genre"]
     )
-    assert got.columns[:7] == plain.columns and len(got.columns) == 12
-    assert bag(got.select(*plain.columns)) == bag(plain)
-    report = plans.candidate_report(t["track_all"], t["mcp_track"], t["genre_map"], t["genre"])
-    pops = [r["pop_score"] for r in report.collect()]
+    assert len(got.columns) == 12
+    assert searched.count(skew._RIGHT_KEY) <= 2
+    names = {r["svc_genre_id"]: r["svc_genre_nm"] for r in plain(t["genre"])}
+    genres, singers, entries = defaultdict(list), defaultdict(list), defaultdict(list)
+    for r in plain(t["genre_map"]):
+        if r["svc_genre_id"] in names:
+            genres[r["track_id"]].append(r["svc_genre_id"])
+    for r in plain(t["artists"]):
+        if r["artist_role_type"] == "VOCAL":
+            singers[r["track_id"]].append(r["artist_text"])
+    for r in plain(t["mcp_track"]):
+        entries[r["b_track_id"]].append(r)
+    expected = []
+    for r in plain(one_each):
+        k = r["track_id"]
+        for m in entries[k] or [defaultdict(lambda: None)]:
+            by = listed(singers[m["track_id"]]) if m["track_id"] in singers else None
+            of = listed(names[g] for g in genres[k]) if k in genres else None
+            expected.append((k, m["track_title"], by, of, m["lyric_yn"]))
+    assert Counter(tuple(r)[:5] for r in got.collect()) == Counter(expected)
+
+    report = plain(plans.candidate_report(t["track_all"], t["mcp_track"], t["genre_map"], t["genre"]))
+    pops = [r["pop_score"] for r in report]
     assert pops and pops == sorted(pops, reverse=True)
+    wanted = Counter()
+    for r in plain(t["track_all"]):
+        k = r["track_id"]
+        if k is not None and (r["pop_score"] or 0) >= 0.2 and {19, 119} & set(genres[k]):
+            for m in entries[k]:
+                if m["lyric_yn"] == m["sync_lyric_yn"] == "N":
+                    wanted[r["track_nm"], m["track_artist_name_list"]] += 1
+    assert Counter((r["track_nm"], r["track_artist_name_list"]) for r in report) == wanted
     exact = plans.candidate_report(
         t["track_all"], t["mcp_track"], t["genre_map"], t["genre"], genre_ids=[3], whole_ids=True
     )
@@ -214,7 +265,8 @@ def test_two_days_in_a_row(spark, database):
 
     root = scratch_dir(spark, "days")
     first = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, root, transcribe, "20240101").collect()}
-    assert first["selected"] == first["transcribed"] + first["failed"] and first["failed"] > 0
+    assert first["selected"] == first["transcribed"] + first["failed"] + first["missing"]
+    assert first["failed"] > 0 and first["missing"] == first["rejected"] == first["bad_key"] == 0
     assert first["uploaded"] == first["transcribed"] == first["source"]
     assert first["after_dedupe"] == spark.table(target).count()
     stats = spark.table(tables.statistics)
@@ -233,3 +285,63 @@ def test_two_days_in_a_row(spark, database):
     idle = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, root, transcribe, "20240103").collect()}
     assert idle["selected"] == 0 and "uploaded" not in idle
     assert idle["after_dedupe"] == len(before)
+
+
+@pytest.fixture
+def one_day(spark, database):
+    """A day with large ids; call it with a transcriber, get the counts and the folder."""
+    rows = [(3_000_000_000 + i, f"t{i}", 0.9, None) for i in range(6)]
+    entries = [(i, 3_000_000_000 + i, "t", "a", "N", "N") for i in range(6)]
+    make = spark.createDataFrame
+    make(rows, "track_id bigint, track_nm string, pop_score double, style_id_list array<int>").write.saveAsTable(f"{database}.track_all")
+    make(entries, "track_id bigint, b_track_id bigint, track_title string, track_artist_name_list string, lyric_yn string, sync_lyric_yn string").write.saveAsTable(f"{database}.mcp_track")
+    make([], "track_id bigint, artist_text string, artist_role_type string").write.saveAsTable(f"{database}.artists")
+    make([], "track_id bigint, svc_genre_id bigint").write.saveAsTable(f"{database}.genre_map")
+    make([], "svc_genre_id bigint, svc_genre_nm string").write.saveAsTable(f"{database}.genre")
+    sources.ensure_metrics_table(spark, f"{database}.target")
+    tables = plans.DailyTables(
+        **{n: f"{database}.{n}" for n in ("track_all", "mcp_track", "genre_map", "genre", "daily", "target", "staging", "statistics")},
+        mcp_artist=f"{database}.artists",
+    )
+    root = scratch_dir(spark, "days")
+
+    def run(transcribe, day):
+        counts = {r["stage"]: r["n"] for r in plans.run_daily(spark, tables, root, transcribe, day).collect()}
+        return counts, f"{root}/{day}", spark.table(tables.target)
+
+    return run
+
+
+def scored(ids, keep):
+    return ids.filter(keep).select(
+        "track_id", F.lit("a b").alias("text"),
+        F.expr("array(named_struct('start', 0D, 'end', 2D, 'text', 'a b', 'no_speech_prob', 0.1D))").alias("segments"),
+        F.lit(None).cast("string").alias("error"),
+    )
+
+
+def test_a_transcriber_that_returns_nothing_is_noticed(spark, one_day):
+    counts, folder, _ = one_day(lambda ids: scored(ids, F.lit(False)), "20240101")
+    assert counts["selected"] == counts["missing"] == 6 and counts["transcribed"] == 0
+    errors = spark.read.csv(f"{folder}/errors", header=True).collect()
+    assert {r["error"] for r in errors} == {"not returned"} and len(errors) == 6
+
+
+def test_large_ids_reach_the_target_and_are_not_chosen_again(spark, one_day):
+    counts, _, target = one_day(lambda ids: scored(ids, F.col("track_id") % 2 == 0), "20240101")
+    assert counts["uploaded"] == counts["after_dedupe"] == 3 and counts["missing"] == 3
+    assert {r["track_id"] for r in target.collect()} == {3_000_000_000, 3_000_000_002, 3_000_000_004}
+    again, _, _ = one_day(lambda ids: scored(ids, F.lit(True)), "20240102")
+    assert again["selected"] == 3
+
+
+@pytest.mark.parametrize("mode,bad", [("fixed", ["x"]), ("faithful", ["3000000000", "x"])])
+def test_rows_with_a_bad_key_are_set_aside(spark, database, tmp_path, mode, bad):
+    head = "track_id,text_length,total_duration"
+    (tmp_path / "m.csv").write_text(f"{head}\n1,2,3.5\nx,4,5.5\n3000000000,6,7.5\n")
+    audit = plans.Audit()
+    table, aside = f"{database}.daily_{mode}", str(tmp_path / "bad")
+    plans.upload_metrics(spark, str(tmp_path / "m.csv"), table, "20240101", mode, audit=audit, bad_keys=aside)
+    assert audit.counts() == {"bad_key": len(bad), "uploaded": 3 - len(bad)}
+    assert sorted(r["track_id"] for r in spark.read.csv(aside, header=True).collect()) == bad
+    assert spark.table(table).filter("track_id IS NULL").count() == 0

@@ -35,7 +35,7 @@ def bag(df):
 def test_many_on_the_left(spark, no_broadcast, how):
     left, right = facts(spark), lookup(spark)
     plain = left.join(right, left.k == right.rk, how).drop("rk")
-    salted = keyed_join(left, right, "k", "rk", how, many="left", salts=8, min_rows=100)
+    salted = keyed_join(left, right, "k", "rk", how, many="left", rows_per_task=150)
     assert bag(salted) == bag(plain)
     assert "xxhash64" in salted._jdf.queryExecution().executedPlan().toString()
 
@@ -46,7 +46,7 @@ def test_many_on_the_right(spark, no_broadcast, how):
     left = spark.createDataFrame([(7, "a"), (1, "b"), (5000, "c"), (None, "d")], "k bigint, n string")
     right = facts(spark).withColumnRenamed("k", "rk")
     plain = left.join(right, left.k == right.rk, how).drop("rk")
-    salted = keyed_join(left, right, "k", "rk", how, many="right", salts=8, min_rows=100)
+    salted = keyed_join(left, right, "k", "rk", how, many="right", rows_per_task=150)
     assert bag(salted) == bag(plain)
 
 
@@ -60,36 +60,71 @@ def test_heavy_keys_on_both_sides(spark, no_broadcast, how):
         )
     ).toDF("rk", "w")
     plain = left.join(right, left.k == right.rk, how).drop("rk")
-    salted = keyed_join(left, right, "k", "rk", how, many="both", salts=8, min_rows=60)
+    salted = keyed_join(left, right, "k", "rk", how, many="both", rows_per_task=60)
     assert bag(salted) == bag(plain)
-    like = keyed_join(left, right, "k", "rk", how, "both", left.filter("k = 7"), 8, min_rows=60)
-    assert bag(like) == bag(plain)
+    known = keyed_join(left, right, "k", "rk", how, "both", left_heavy={7: 1000}, rows_per_task=60)
+    assert bag(known) == bag(plain)
 
 
 def test_more_salts_than_heavy_rows(spark, no_broadcast):
     left = spark.createDataFrame([(7, "a"), (8, "b")], "k bigint, n string")
     right = spark.createDataFrame([(7, 1), (7, 2)], "rk bigint, v int")
-    salted = keyed_join(left, right, "k", "rk", "left", many="right", salts=64, min_rows=1)
+    salted = keyed_join(left, right, "k", "rk", "left", many="right", rows_per_task=1)
     assert bag(salted) == bag(left.join(right, left.k == right.rk, "left").drop("rk"))
 
 
 def test_heavy_rows_reach_many_sub_keys(spark, no_broadcast):
     from tracklens.operators.skew import _salted
 
-    spread = _salted(facts(spark), "k", [7, None], [], 8, "s")
+    spread = _salted(facts(spark), "k", {7: 8, None: 8}, {}, "s")
     for hot in (F.col("k") == 7, F.col("k").isNull()):
         assert spread.filter(hot).select("s").distinct().count() > 4
     assert spread.filter("k <> 7").select("s").distinct().count() == 1
 
 
 def test_heavy_keys_finds_null_and_hot(spark):
-    assert set(heavy_keys(facts(spark), "k", share=0.1, min_rows=100)) == {7, None}
-    assert heavy_keys(facts(spark), "k", share=0.1) == []
-    assert heavy_keys(facts(spark).limit(0), "k", min_rows=0) == []
+    assert heavy_keys(facts(spark), "k", min_rows=100) == {
+        7: pytest.approx(1000, rel=0.05), None: pytest.approx(1000, rel=0.05)
+    }
+    assert heavy_keys(facts(spark), "k") == {}
+    assert heavy_keys(facts(spark).limit(0), "k", min_rows=0) == {}
+
+
+def test_a_hot_key_is_found_however_well_its_column_compresses(spark, tmp_path):
+    # Half of the rows have one key: the file is tiny, the estimate of its size too.
+    hot = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 1000)
+    spark.range(0, 2_000_000, 1, 4).select(hot.alias("k")).write.parquet(str(tmp_path / "hot"))
+    found = heavy_keys(spark.read.parquet(str(tmp_path / "hot")), "k", min_rows=100_000)
+    assert list(found) == [7] and found[7] >= 1_000_000
+
+
+def test_salts_follow_the_rows_of_a_key(spark):
+    from tracklens.operators.skew import _sub_keys
+
+    keys = spark.createDataFrame([(7,), (8,), (None,)], "k bigint")
+    got = keys.select(_sub_keys(F.col("k"), {7: 50, None: 3}).alias("n")).collect()
+    assert [r["n"] for r in got] == [50, 1, 3]
+
+
+def test_unique_sides_are_not_searched(spark, no_broadcast, monkeypatch):
+    from tracklens.operators import skew
+
+    monkeypatch.setattr(skew, "heavy_keys", lambda *_: pytest.fail("searched"))
+    joined = keyed_join(lookup(spark), lookup(spark).toDF("k", "x"), "rk", "k", many="none")
+    assert joined.count() == 1000
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_size_settings_in_every_spelling():
+    from tracklens.operators.skew import _bytes
+
+    assert [_bytes(x) for x in ("10485760b", "10MB", "10m", "256k", "-1", "7")] == [
+        10485760, 10485760, 10485760, 262144, -1, 7,
+    ]
 
 
 def test_small_side_is_left_to_broadcast(spark):
-    joined = keyed_join(facts(spark), lookup(spark), "k", "rk", "left", min_rows=1)
+    joined = keyed_join(facts(spark), lookup(spark), "k", "rk", "left", rows_per_task=1)
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "xxhash64" not in plan
 
@@ -106,6 +141,8 @@ def test_expand_counts(spark):
     df = spark.createDataFrame(rows, "track_id bigint, n bigint")
     got = expand_counts(df, "n", chunk=10).groupBy("track_id").count().collect()
     assert {r["track_id"]: r["count"] for r in got} == {1: 1, 3: 25, 4: 10, 5: 1}
+    plan = expand_counts(df, "n", chunk=10)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and plan.count("Exchange") == 1
 
 
 def test_use_all_cores(spark):

@@ -18,6 +18,6 @@ def duration_verdict(segments: Column, seconds: float = VERDICT_SPEECH_SECONDS)
     total = F.aggregate(
         F.coalesce(segments, F.array()),
         F.lit(0.0),
-        lambda acc, s: acc + (s["end"] - s["start"]),
+        lambda acc, s: acc + F.coalesce(s["end"] - s["start"], F.lit(0.0)),
     )
     return total > F.lit(float(seconds))

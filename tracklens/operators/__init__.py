@@ -37,7 +37,7 @@ from tracklens.operators.joins import (
     not_processed,
 )
 from tracklens.operators.metrics import segment_metrics, segment_metrics_long
-from tracklens.operators.scoring import score_batches, split_errors
+from tracklens.operators.scoring import row_by_row, score_batches, split_errors
 from tracklens.operators.skew import expand_counts, heavy_keys, keyed_join, use_all_cores
 from tracklens.operators.verdict_log import parse_verdict_lines
 

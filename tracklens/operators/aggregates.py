@@ -60,7 +60,7 @@ def _counted_genres(genre_map: DataFrame, genre: DataFrame) -> DataFrame:
     # Counting (track, genre) pairs before the names come in keeps the join
     # small and bounds a track's list by the number of genres.
     pairs = (
-        genre_map.filter(F.col("track_id").isNotNull() & F.col("svc_genre_id").isNotNull())
+        genre_map.filter(F.col("svc_genre_id").isNotNull())
         .groupBy("track_id", "svc_genre_id")
         .agg(F.count("*").alias("n"))
     )
@@ -68,7 +68,10 @@ def _counted_genres(genre_map: DataFrame, genre: DataFrame) -> DataFrame:
 
 
 def track_genres(genre_map: DataFrame, genre: DataFrame, sep: str = ",") -> DataFrame:
-    """Sorted list of genre names per track; '' when no name is known."""
+    """Sorted list of genre names per track; '' when no name is known.
+
+    Pairs without a track form a group of their own, here and in ``genre_listagg``.
+    """
     names = _counted_list(F.col("svc_genre_nm"))
     return (
         _counted_genres(genre_map, genre)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklens.constants import (
     DAY_COLUMN,
@@ -86,28 +87,32 @@ def normalize_key(df: DataFrame, key: str = "track_id") -> DataFrame:
     return df.withColumn(key, F.col(key).cast("bigint"))
 
 
+def whole_number(value: Column, mode: str = "fixed") -> Column:
+    """A text as BIGINT, or INT in mode ``faithful``; NULL if it does not fit."""
+    kind = "bigint" if mode == "fixed" else "int"
+    # Whole numbers first: going through a double would blur large ids.
+    return F.coalesce(value.try_cast(kind), value.try_cast("double").try_cast(kind))
+
+
 def cast_metrics(
     df: DataFrame, double_cols: Sequence[str] | None = None, mode: str = "fixed"
 ) -> DataFrame:
     """Cast all-string metric columns by name; a value that fails gives NULL.
 
-    ``fixed`` reads every duration as a double. ``faithful`` keeps the original
-    column list, under which ``total_duration`` is cut to whole seconds.
+    ``fixed`` reads every duration as a double and whole numbers as BIGINT.
+    ``faithful`` keeps the original contract: INT, under which larger ids become
+    NULL, and a column list by which ``total_duration`` is cut to whole seconds.
     """
     if mode not in ("fixed", "faithful"):
         raise ValueError(f"unknown mode: {mode}")
     if double_cols is None:
         double_cols = DOUBLE_METRICS if mode == "fixed" else DOUBLE_METRICS_AS_SPELLED
 
+
     def cast(name: str) -> Column:
         value = F.col(name)
-        if name in double_cols:
-            return value.try_cast("double").alias(name)
-        # Whole numbers first: going through a double would blur large ids.
-        whole = F.coalesce(
-            value.try_cast("int"), value.try_cast("double").try_cast("int")
-        )
-        return whole.alias(name)
+        kept = value.try_cast("double") if name in double_cols else whole_number(value, mode)
+        return kept.alias(name)
 
     return df.select(*[cast(c) for c in df.columns])
 
@@ -117,7 +122,8 @@ def with_day(df: DataFrame, day: str) -> DataFrame:
 
 
 def with_run_date(df: DataFrame, ts_col: str) -> DataFrame:
-    return df.withColumn("run_date", run_date(F.col(ts_col)))
+    instant = isinstance(df.schema[ts_col].dataType, T.TimestampType)
+    return df.withColumn("run_date", run_date(F.col(ts_col), instant=instant))
 
 
 def tier_flags(df: DataFrame, thresholds: Sequence[int] = TIER_THRESHOLDS) -> DataFrame:
@@ -127,27 +133,15 @@ def tier_flags(df: DataFrame, thresholds: Sequence[int] = TIER_THRESHOLDS) -> Da
 
 
 def stat_projection(
-    df: DataFrame,
-    thresholds: Sequence[int] = TIER_THRESHOLDS,
-    max_len: int | None = None,
+    df: DataFrame, thresholds: Sequence[int] = TIER_THRESHOLDS
 ) -> DataFrame:
-    """The columns and types of the statistics table.
-
-    Texts keep their full length; ``max_len`` cuts the three long ones.
-    """
-
-    def text(name: str) -> Column:
-        value = F.col(name).cast("string")
-        return (F.substring(value, 1, max_len) if max_len else value).alias(name)
-
+    """The columns and types of the statistics table; texts keep their full length."""
+    texts = ["track_title", "artist_array", "genre_array", "lyric_yn"]
+    counts = ["nsp06_word_cnt", "nsp06_unique_word_cnt"]
     return tier_flags(df, thresholds).select(
         F.col("track_id").cast("bigint").alias("track_id"),
-        text("track_title"),
-        text("artist_array"),
-        text("genre_array"),
-        F.col("lyric_yn").cast("string").alias("lyric_yn"),
-        F.col("nsp06_word_cnt").cast("bigint").alias("nsp06_word_cnt"),
-        F.col("nsp06_unique_word_cnt").cast("bigint").alias("nsp06_unique_word_cnt"),
+        *[F.col(c).cast("string").alias(c) for c in texts],
+        *[F.col(c).cast("bigint").alias(c) for c in counts],
         *[f"nsp06uc{t}" for t in thresholds],
     )
 

@@ -37,7 +37,10 @@ def segment_metrics(df: DataFrame) -> DataFrame:
     )
     total = F.coalesce(F.try_element_at("segments", F.lit(-1))["end"], F.lit(0.0))
     spoken = F.aggregate(
-        "speech", F.lit(0.0), lambda acc, s: acc + (s["end"] - s["start"])
+        "speech",
+        F.lit(0.0),
+        # A segment without a time lasts 0 s.
+        lambda acc, s: acc + F.coalesce(s["end"] - s["start"], F.lit(0.0)),
     )
     return staged.select(
         "track_id",

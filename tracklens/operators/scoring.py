@@ -7,12 +7,78 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-Scorer = Callable[[dict], dict]
+RowScorer = Callable[[dict], dict]
+# Gives a result per record, in order; an exception in place of one marks that row.
+Scorer = Callable[[list[dict]], list[dict | Exception]]
+
+
+def row_by_row(make_scorer: Callable[[], RowScorer]) -> Callable[[], Scorer]:
+    """A batch scorer from one that takes a single record; failures stay with their row."""
+
+    def make() -> Scorer:
+        scorer = make_scorer()
+
+        def score(records: list[dict]) -> list[dict | Exception]:
+            found: list[dict | Exception] = []
+            for record in records:
+                try:
+                    found.append(scorer(record))
+                except Exception as e:  # one bad track must not end the run
+                    found.append(e)
+            return found
+
+        return score
+
+    return make
+
+
+def _values(column: pa.Array) -> list:
+    """Python values; lists of floats as NumPy arrays, whole numbers never as floats."""
+    if pa.types.is_list(column.type) and pa.types.is_floating(column.type.value_type):
+        return [s.values.to_numpy(zero_copy_only=False) if s.is_valid else None for s in column]
+    return column.to_pylist()
+
+
+def _tried(scorer: Scorer, records: list[dict]) -> list[dict | Exception]:
+    """Results for ``records``; if the batch as a whole fails, its rows are tried alone."""
+    try:
+        found = list(scorer(records))
+        if len(found) != len(records):
+            raise ValueError(f"{len(found)} results for {len(records)} records")
+        return found
+    except Exception as e:
+        if len(records) == 1:
+            return [e]
+        return [_tried(scorer, [r])[0] for r in records]
+
+
+def _fields(found: list[dict | Exception], schema: pa.Schema) -> tuple[list[pa.Array], list]:
+    """The result columns and the errors; a value that does not fit fails its row."""
+    errors = [f if isinstance(f, Exception) else None for f in found]
+    columns: list[list[Any]] = []
+    for field in schema:
+        values = [None if e else f.get(field.name) for f, e in zip(found, errors, strict=True)]
+        try:
+            pa.array(values, field.type)
+        except (pa.ArrowException, TypeError, ValueError, OverflowError):
+            for i, v in enumerate(values):
+                try:
+                    pa.array([v], field.type)
+                except (pa.ArrowException, TypeError, ValueError, OverflowError) as e:
+                    errors[i] = errors[i] or e
+                    values[i] = None
+        columns.append(values)
+    arrays = [
+        pa.array([None if e else v for v, e in zip(c, errors, strict=True)], f.type)
+        for c, f in zip(columns, schema, strict=True)
+    ]
+    return arrays, [f"{type(e).__name__}: {e}" if e else None for e in errors]
 
 
 def score_batches(
@@ -24,20 +90,23 @@ def score_batches(
 ) -> DataFrame:
     """Score every row; returns the key, the columns of ``schema`` and ``error``.
 
-    ``make_scorer`` runs once per worker process, at its first row, so a model
-    is loaded where it is used and never shipped. A row whose scoring fails gets
-    the message in ``error`` and NULLs elsewhere, and the others go on.
+    ``make_scorer`` runs once per worker process, at its first batch, so a model is
+    loaded where it is used and never shipped. It gives a function of a list of
+    records that returns as many results (``row_by_row`` makes one from a function of
+    a single record). If a batch fails, its rows are scored one by one; a failing row
+    gets the message in ``error`` and NULLs elsewhere, and the others go on. Keys
+    pass through as they are, and whole numbers and NULLs reach the scorer as such.
     ``partitions`` deals the rows out anew where scoring is far dearer than
-    reading. Array columns arrive as NumPy arrays; with long ones, set
+    reading. Lists of floats arrive as NumPy arrays; with long ones, set
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that a batch fits memory.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    names = [f.name for f in schema.fields]
     out = T.StructType(
         [df.schema[key]] + schema.fields + [T.StructField("error", T.StringType())]
     )
-
+    arrow = to_arrow_schema(schema)
+    names = out.fieldNames()
     call = uuid.uuid4().hex
 
     def scorer_here() -> Scorer:
@@ -48,22 +117,18 @@ def score_batches(
             held[call] = make_scorer()
         return held[call]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list[Any]] = []
-            for record in batch.to_dict("records"):
-                row_key = None if pd.isna(record[key]) else record[key]
-                scorer = scorer_here()
-                try:
-                    found = scorer(record)
-                    rows.append([row_key, *(found.get(n) for n in names), None])
-                except Exception as e:  # one bad track must not end the run
-                    rows.append([row_key, *(None for _ in names), f"{type(e).__name__}: {e}"])
-            yield pd.DataFrame(rows, columns=[key, *names, "error"], dtype=object)
+            columns = [_values(c) for c in batch.columns]
+            records = [dict(zip(batch.schema.names, row)) for row in zip(*columns, strict=True)]
+            found = _tried(scorer_here(), records) if records else []
+            fields, errors = _fields(found, arrow)
+            keys = batch.column(batch.schema.get_field_index(key))
+            yield pa.RecordBatch.from_arrays([keys, *fields, pa.array(errors, pa.string())], names)
 
     if partitions:
         df = df.repartition(partitions)
-    return df.mapInPandas(run, out)
+    return df.mapInArrow(run, out)
 
 
 def split_errors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,24 +1,33 @@
 """Spreading work: equi joins that hold up when one key owns a large share of
 the rows, and inputs with fewer splits than there are cores.
 
-A side small enough for Spark's own broadcast threshold needs no care: the rows
-of the other side stay where they are. Beyond that size the join shuffles, and
-a key with a third of all rows would end in one task. ``keyed_join`` then looks
-up the heavy keys of the many-rows side (one pass over that column, no shuffle
-of rows) and spreads just those over ``salts`` sub-keys. Which keys are found
-affects only speed: salting any list of keys gives the same rows.
+A side that Spark broadcasts by its own size check needs no care: the rows of
+the other side stay where they are. Beyond that size the join shuffles, and a
+key with a third of all rows would end in one task. ``keyed_join`` then looks up
+the heavy keys of a side whose keys repeat (one pass over that column, no shuffle
+of rows) and spreads each over as many sub-keys as its rows need tasks. Which keys
+are found affects only speed; adaptive execution splits what is left.
 """
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracklens.session import apply_runtime_options
+
 # The sketch tracks this many keys, and at most this many are ever returned, so
 # the list brought to the driver is bounded whatever the table's size.
 _TRACKED = 4_096
 _RETURNED = 1_000
 
+# More rows of one key than this are worth several tasks, at any table size.
+ROWS_PER_TASK = 1_000_000
+
 # Less input than this is not worth a task of its own.
 _TASK_BYTES = 256 * 1024
 
@@ -26,39 +35,43 @@ _RIGHT_KEY = "__right_key"
 _LEFT_SALT = "__left_salt"
 _RIGHT_SALT = "__right_salt"
 
+_UNITS = {u: 1024**i for i, u in enumerate(["B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"])}
+_SIZE = re.compile(r"Statistics\(sizeInBytes=([0-9.E+]+) (\w+)")
+
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate from file sizes; runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _estimated_bytes(df: DataFrame) -> float:
+    """Spark's own size estimate of ``df``, as its cost explanation states it."""
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        df.explain(mode="cost")
+    found = _SIZE.search(said.getvalue())
+    return float(found[1]) * _UNITS[found[2]] if found else float("inf")
+
+
+def _bytes(text: str) -> int:
+    """Bytes of a size setting such as ``10485760b``, ``10MB`` or ``-1``."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark's own size estimate lets it broadcast ``df``."""
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return _estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return limit >= 0 and _estimated_bytes(df) <= limit
 
 
-def heavy_keys(
-    df: DataFrame, key: str, share: float = 0.001, min_rows: int = 1_000_000
-) -> list:
-    """Keys with at least ``share`` of the rows; NULL is listed like any key.
+def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_TASK) -> dict:
+    """Rows of each key that has at least ``min_rows``; NULL is a key like any other.
 
-    There can be at most ``1 / share`` of them. Keys below ``min_rows`` fit a
-    task anyway and are left out, and a frame too small to hold that many keys
-    by Spark's estimate is not looked through at all.
+    Counts come from a frequent-items sketch and may be a little low; the
+    heaviest ``1000`` keys are returned at most.
     """
-    if _estimated_bytes(df) < 8 * min_rows:
-        return []
-    found = (
+    top = (
         df.select(F.col(key).alias("k"))
-        .agg(
-            F.expr(f"approx_top_k(k, {_RETURNED}, {_TRACKED})").alias("top"),
-            F.count("*").alias("n"),
-        )
-        .first()
+        .agg(F.expr(f"approx_top_k(k, {_RETURNED}, {_TRACKED})").alias("top"))
+        .first()["top"]
     )
-    floor = max(min_rows, share * found["n"])
-    return [t["item"] for t in found["top"] or [] if t["count"] >= floor]
+    return {t["item"]: t["count"] for t in top or [] if t["count"] >= min_rows}
 
 
 def _in_list(key: Column, keys: list) -> Column:
@@ -66,23 +79,30 @@ def _in_list(key: Column, keys: list) -> Column:
     return F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
 
 
-def _salted(
-    df: DataFrame, key: str, spread: list, repeat: list, salts: int, name: str
-) -> DataFrame:
-    """``df`` with a sub-key: one of many for keys in ``spread``, every one of
+def _sub_keys(key: Column, salts: dict) -> Column:
+    """The number of sub-keys of each key; 1 for those not in ``salts``."""
+    named = {k: n for k, n in salts.items() if k is not None}
+    found = F.lit(None).cast("int")
+    if named:
+        table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+        found = F.when(_in_list(key, list(named)), F.element_at(table, key))
+    if None in salts:
+        found = F.when(key.isNull(), F.lit(salts[None])).otherwise(found)
+    return F.coalesce(found, F.lit(1)).cast("int")
+
+
+def _salted(df: DataFrame, key: str, spread: dict, repeat: dict, name: str) -> DataFrame:
+    """``df`` with a sub-key: one of several for keys in ``spread``, every one of
     them, on a copy each, for keys in ``repeat``, and 0 for all others."""
     # The partition number is part of the hash, so exact copies of a row spread
     # too; it is the same on a retried task, unlike a random number.
-    one = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(salts)).cast("int")
-    in_spread = _in_list(F.col(key), spread)
-    if None in spread:
-        in_spread = in_spread | F.col(key).isNull()
-    salt = F.when(in_spread, one).otherwise(F.lit(0))
+    one = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), _sub_keys(F.col(key), spread))
+    salted = df.withColumn(name, one.cast("int"))
     if not repeat:
-        return df.withColumn(name, salt)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    choice = F.when(_in_list(F.col(key), repeat), every).otherwise(F.array(salt))
-    return df.withColumn(name, F.explode(choice))
+        return salted
+    every = F.sequence(F.lit(0), _sub_keys(F.col(key), repeat) - 1)
+    choice = F.when(_in_list(F.col(key), list(repeat)), every).otherwise(F.array(F.col(name)))
+    return salted.withColumn(name, F.explode(choice))
 
 
 def keyed_join(
@@ -92,50 +112,54 @@ def keyed_join(
     right_key: str | None = None,
     how: str = "inner",
     many: str = "left",
-    left_like: DataFrame | None = None,
-    salts: int = 64,
-    share: float = 0.001,
-    min_rows: int = 1_000_000,
+    left_heavy: dict | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join on ``left_key = right_key``, keeping only the left key column.
 
     ``how`` is inner, left, left_semi or left_anti. ``many`` names the side
-    (left, right or both) in which one key may repeat without bound.
-    ``left_like`` is a frame in which keys are as frequent as in ``left`` but
-    that costs less to look through. Other column names must differ between the
-    sides.
+    (left, right or both) in which one key may repeat without bound, or none; only
+    such a side is searched. ``left_heavy`` gives the left side's heavy keys where
+    they are known already. Other column names must differ between the sides.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind: {how}")
-    if many not in ("left", "right", "both"):
+    if many not in ("left", "right", "both", "none"):
         raise ValueError(f"unknown side: {many}")
-    if many != "left" and how in ("left_semi", "left_anti"):
+    if many in ("right", "both") and how in ("left_semi", "left_anti"):
         raise ValueError("reduce the right side to distinct keys instead")
 
+    apply_runtime_options(left.sparkSession)
     right = right.withColumnRenamed(right_key or left_key, _RIGHT_KEY)
     on = F.col(left_key) == F.col(_RIGHT_KEY)
 
-    left_heavy: list = []
-    right_heavy: list = []
-    if not (fits_broadcast(right) or (how == "inner" and fits_broadcast(left))):
+    def tasks(rows: int) -> int:
+        return -(-rows // rows_per_task) + 1
+
+    spread: dict = {}
+    repeat: dict = {}
+    broadcast = fits_broadcast(right) or (how == "inner" and fits_broadcast(left))
+    if many != "none" and not broadcast:
         if many != "right":
-            left_heavy = heavy_keys(
-                left if left_like is None else left_like, left_key, share, min_rows
-            )
+            if left_heavy is None:
+                left_heavy = heavy_keys(left, left_key, rows_per_task)
+            spread = {k: tasks(n) for k, n in left_heavy.items()}
         if many != "left":
-            found = heavy_keys(right, _RIGHT_KEY, share, min_rows)
-            right_heavy = [k for k in found if k is not None and k not in left_heavy]
-    if left_heavy or right_heavy:
-        left = _salted(left, left_key, left_heavy, right_heavy, salts, _LEFT_SALT)
-        right = _salted(right, _RIGHT_KEY, right_heavy, left_heavy, salts, _RIGHT_SALT)
+            found = heavy_keys(right, _RIGHT_KEY, rows_per_task)
+            repeat = {
+                k: tasks(n) for k, n in found.items() if k is not None and k not in spread
+            }
+    if spread or repeat:
+        left = _salted(left, left_key, spread, repeat, _LEFT_SALT)
+        right = _salted(right, _RIGHT_KEY, repeat, spread, _RIGHT_SALT)
         on = on & (F.col(_LEFT_SALT) == F.col(_RIGHT_SALT))
 
     joined = left.join(right, on, how)
-    if right_heavy and how == "left":
+    if repeat and how == "left":
         # A heavy key does occur on the right, so a repeated left row that met
         # no partner in its sub-key is not an unmatched row.
         joined = joined.filter(
-            ~(_in_list(F.col(left_key), right_heavy) & F.col(_RIGHT_KEY).isNull())
+            ~(_in_list(F.col(left_key), list(repeat)) & F.col(_RIGHT_KEY).isNull())
         )
     return joined.drop(_RIGHT_KEY, _LEFT_SALT, _RIGHT_SALT)
 
@@ -143,24 +167,25 @@ def keyed_join(
 def expand_counts(df: DataFrame, count: str, chunk: int = 100_000) -> DataFrame:
     """Repeat every row ``count`` times and drop that column.
 
-    Large counts are first cut into chunks, and the chunks are dealt out over
-    the tasks, so no task or array has to hold all copies of one row.
+    Rows with up to ``chunk`` copies are repeated where they are. Larger counts
+    are cut into chunks, and only those chunks are dealt out over the tasks, so no
+    task or array has to hold all copies of one row.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rest = [c for c in df.columns if c != count]
     n = F.col(count).cast("bigint")
-    chunks = df.filter(n > 0).select(
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        copies = F.explode(F.sequence(F.lit(1), times)).alias("__copy")
+        return rows.select(*rest, copies).drop("__copy")
+
+    few = repeated(df.filter((n > 0) & (n <= chunk)), n)
+    chunks = df.filter(n > chunk).select(
         *rest,
         n.alias("__n"),
         F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk))).alias("__chunk"),
     )
     size = F.least(F.lit(chunk), F.col("__n") - F.col("__chunk") * chunk)
-    return (
-        chunks.select(*rest, size.alias("__size"))
-        .repartition(parts)
-        .select(*rest, F.explode(F.sequence(F.lit(1), F.col("__size"))).alias("__copy"))
-        .drop("__copy")
-    )
+    return few.unionByName(repeated(chunks.repartition(*rest, "__chunk"), size))
 
 
 def use_all_cores(df: DataFrame, bytes_per_core: int = 32 * 1024 * 1024) -> DataFrame:
@@ -173,5 +198,7 @@ def use_all_cores(df: DataFrame, bytes_per_core: int = 32 * 1024 * 1024) -> Data
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = _estimated_bytes(df)
-    tasks = min(cores, size // _TASK_BYTES)
-    return df.repartition(tasks) if tasks > 1 and size < cores * bytes_per_core else df
+    if size >= cores * bytes_per_core:
+        return df
+    tasks = min(cores, int(size // _TASK_BYTES))
+    return df.repartition(tasks) if tasks > 1 else df

@@ -1,8 +1,12 @@
-"""Row counts per stage, taken while the stage runs and not by extra jobs."""
+"""Row counts per stage for display.
+
+Observed counts are taken while a stage runs; if Spark runs it again after losing
+an executor, they can be too high. Counts that something depends on are taken from
+the data written and noted.
+"""
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +42,7 @@ class Audit:
         for name, observation in self._observed.items():
             try:
                 self._known[name] = int(observation.get["n"])
-            except Py4JJavaError:
+            except Exception:  # its class differs by kind of session
                 # Spark drops a stage from the plan, and its observation with
                 # it, when the rows coming in turn out to be none.
                 self._known[name] = self._recount[name].count() if name in self._recount else 0

@@ -15,6 +15,7 @@ from tracklens.operators.filters import (
     without_lyrics,
 )
 from tracklens.operators.skew import expand_counts
+from tracklens.session import apply_runtime_options
 
 
 def candidate_counts(
@@ -30,6 +31,7 @@ def candidate_counts(
     once, on the track id; both joins then reuse that partitioning, and no key
     is heavy any more.
     """
+    apply_runtime_options(track_all.sparkSession)
     popular = min_popularity(require_key(track_all), threshold)
     tracks = (
         exclude_styles_strict(popular, style_ids)

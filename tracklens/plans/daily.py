@@ -6,9 +6,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracklens.constants import EXCLUDED_STYLE_IDS, MIN_POP_SCORE
 from tracklens.functions import today
+from tracklens.operators.joins import not_processed
 from tracklens.operators.scoring import split_errors
 from tracklens.plans.audit import Audit
 from tracklens.plans.create import create_candidates
@@ -25,6 +27,10 @@ from tracklens.sources.writers import (
 )
 
 
+# The error of an id that the transcriber gave nothing for.
+NOT_RETURNED = "not returned"
+
+
 @dataclass
 class DailyTables:
     """Catalog names of the tables a run reads and writes, and its settings."""
@@ -41,7 +47,7 @@ class DailyTables:
     threshold: float = MIN_POP_SCORE
     style_ids: Sequence[int] = field(default_factory=lambda: list(EXCLUDED_STYLE_IDS))
     lyric_key: str = "track_id"
-    replace: str = "copy"
+    replace: str = "rename"
 
 
 def run_create(spark: SparkSession, tables: DailyTables, path: str, audit: Audit) -> int:
@@ -65,15 +71,28 @@ def run_detect(
     transcribe: Callable[[DataFrame], DataFrame],
     audit: Audit,
 ) -> None:
-    """Transcribe the work list into ``folder``/metrics and ``folder``/errors."""
-    ids, _ = read_work_list(spark, work_list)
-    # Two outputs follow from the transcripts, which are made only once.
+    """Transcribe the work list into ``folder``/metrics and ``folder``/errors.
+
+    Every id ends in one of the two: an id that ``transcribe`` does not return is an
+    error too. Lines of the list that are no id go to ``folder``/rejects.
+    """
+    ids, rejects = read_work_list(spark, work_list)
+    rejects.write.mode("overwrite").csv(f"{folder}/rejects", header=True)
+    # Three outputs follow from the transcripts, which are made only once.
     scored = materialize(transcribe(ids), folder, "transcripts")
     ok, errors = split_errors(scored)
-    metrics = audit.stage(track_metrics(ok), "transcribed")
-    metrics.write.mode("overwrite").csv(f"{folder}/metrics", header=True)
-    failed = audit.stage(errors.select("track_id", "error"), "failed")
+    track_metrics(ok).write.mode("overwrite").csv(f"{folder}/metrics", header=True)
+    missing = not_processed(ids, scored).select("track_id", F.lit(NOT_RETURNED).alias("error"))
+    failed = errors.select("track_id", "error").unionByName(missing)
     failed.write.mode("overwrite").csv(f"{folder}/errors", header=True)
+    done = scored.agg(
+        F.count_if(F.col("error").isNull()).alias("ok"),
+        F.count_if(F.col("error").isNotNull()).alias("failed"),
+    ).first()
+    audit.note("rejected", rejects.count())
+    audit.note("transcribed", done["ok"])
+    audit.note("failed", done["failed"])
+    audit.note("missing", missing.count())
 
 
 def run_merge(
@@ -117,7 +136,8 @@ def run_daily(
     Any failure raises.
 
     ``transcribe`` turns the work list (track_id) into (track_id, text,
-    segments, error), for instance with ``score_batches``. Files of the run go
+    segments, error), for instance with ``score_batches``. Each selected id counts as
+    transcribed, failed or missing. Files of the run go
     below ``root``, a folder all executors can reach. The target table exists;
     the statistics table is created on the first run. The four parts can also
     be run one by one.
@@ -128,7 +148,14 @@ def run_daily(
     source = None
     if run_create(spark, tables, f"{folder}/work_list", audit):
         run_detect(spark, f"{folder}/work_list", folder, transcribe, audit)
-        upload_metrics(spark, f"{folder}/metrics", tables.daily, day, audit=audit)
+        upload_metrics(
+            spark,
+            f"{folder}/metrics",
+            tables.daily,
+            day,
+            audit=audit,
+            bad_keys=f"{folder}/bad_keys",
+        )
         source = read_table(spark, tables.daily, day)
     run_merge(spark, tables, audit, source)
     return audit.frame(spark)

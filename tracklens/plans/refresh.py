@@ -11,7 +11,9 @@ from tracklens.constants import EXCLUDED_STYLE_IDS
 from tracklens.operators.aggregates import newest_row
 from tracklens.operators.filters import excluded_track_ids, normalize_key, require_key
 from tracklens.operators.joins import lyric_counts
+from tracklens.operators.skew import fits_broadcast
 from tracklens.plans.audit import Audit, observed
+from tracklens.session import apply_runtime_options
 from tracklens.sources.writers import append_positional
 
 
@@ -35,15 +37,32 @@ def refresh_target(
     """One row per track of ``target`` that is in no excluded style and not
     known to have lyrics.
 
-    Both filters look at the track id alone, so the newest row per track is
-    picked first, on the map side as far as possible, and a track with very many
-    rows reaches the joins as one. ``n_rows`` and ``lyric_rows`` keep what the
-    audit needs to report the counts before that reduction.
+    Both filters look at the track id alone. Where Spark broadcasts their sides they
+    run first. Otherwise the newest row per track is picked first, on the map side as
+    far as possible, and a track with very many rows reaches the joins as one;
+    ``n_rows`` and ``lyric_rows`` keep what the audit needs to report the counts
+    before that reduction. The rows are the same either way.
     """
+    apply_runtime_options(target.sparkSession)
     excluded = excluded_track_ids(track_all, style_ids)
+    lyric = lyric_counts(mcp_track, lyric_key)
+    small = fits_broadcast(track_all.select("track_id")) and fits_broadcast(
+        mcp_track.select(lyric_key, "lyric_yn")
+    )
     if audit is not None:
         # With an empty target the join never reads this side.
         excluded = audit.stage(excluded, "excluded", recount=True)
+    if small:
+        # Filters that move no row come first: what they drop is never sorted.
+        rows = observed(audit, target, "source")
+        rows = observed(audit, rows.join(excluded, "track_id", "left_anti"), "after_style")
+        rows = observed(
+            audit, _without_lyrics(rows, lyric), "after_lyric", F.sum("lyric_rows")
+        )
+        picked = require_key(rows).groupBy("track_id").agg(
+            newest_row(target.columns, "track_id", order).alias("best")
+        )
+        return _unpacked(observed(audit, picked, "after_dedupe"), target.columns)
     grouped = target.groupBy("track_id").agg(
         newest_row(target.columns, "track_id", order).alias("best"),
         F.count("*").alias("n_rows"),
@@ -51,19 +70,23 @@ def refresh_target(
     grouped = observed(audit, grouped, "source", F.sum("n_rows"))
     styled = grouped.join(excluded, "track_id", "left_anti")
     styled = observed(audit, styled, "after_style", F.sum("n_rows"))
-    lyric = lyric_counts(mcp_track, lyric_key)
-    kept = (
-        styled.join(lyric, F.col("track_id") == F.col("lyric_key"), "left")
+    kept = _without_lyrics(styled, lyric)
+    kept = observed(audit, kept, "after_lyric", F.sum(F.col("n_rows") * F.col("lyric_rows")))
+    return _unpacked(observed(audit, require_key(kept), "after_dedupe"), target.columns)
+
+
+def _without_lyrics(rows: DataFrame, lyric: DataFrame) -> DataFrame:
+    """Rows with no lyric entry, or one without lyrics, and how many such there are."""
+    return (
+        rows.join(lyric, F.col("track_id") == F.col("lyric_key"), "left")
         .withColumn("lyric_rows", F.coalesce(F.col("lyric_rows"), F.lit(1)))
         .filter(F.col("lyric_rows") > 0)
     )
-    kept = observed(audit, kept, "after_lyric", F.sum(F.col("n_rows") * F.col("lyric_rows")))
-    rows = observed(audit, require_key(kept), "after_dedupe")
+
+
+def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(
-        *[
-            "track_id" if c == "track_id" else F.col("best")[c].alias(c)
-            for c in target.columns
-        ]
+        *["track_id" if c == "track_id" else F.col("best")[c].alias(c) for c in columns]
     )
 
 

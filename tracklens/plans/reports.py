@@ -18,10 +18,11 @@ from tracklens.operators.filters import (
     genre_any,
     genre_substring,
     min_popularity,
+    require_key,
     stat_projection,
     without_lyrics,
 )
-from tracklens.operators.skew import keyed_join
+from tracklens.operators.skew import fits_broadcast, heavy_keys, keyed_join
 from tracklens.operators.verdict_log import parse_verdict_lines
 from tracklens.sources.readers import read_logs
 
@@ -37,17 +38,18 @@ def track_statistics(
     """Title, vocal artists, genres, lyric flag and word tiers per track.
 
     ``target`` has one row per track, as the refresh leaves it. Genres and
-    catalog entries both join on the track id and share one shuffle unless it
-    has heavy keys; only the artists need another key.
+    catalog entries both join on the track id and share one shuffle unless the
+    entries have heavy keys; only the artists need another key. Groups without a track
+    can join nothing, so they are not made.
     """
     tracks = target.select("track_id", "nsp06_word_cnt", "nsp06_unique_word_cnt")
-    with_genres = keyed_join(tracks, track_genres(genre_map, genre), "track_id", how="left")
+    genres = track_genres(require_key(genre_map), genre)
+    with_genres = keyed_join(tracks, genres, "track_id", how="left", many="none")
     entries = mcp_track.select(
         F.col("track_id").alias("mcp_track_id"), "b_track_id", "track_title", "lyric_yn"
     )
-    # One list of genres per track, so keys are as frequent as before that join.
     titled = keyed_join(
-        with_genres, entries, "track_id", "b_track_id", "left", many="both", left_like=tracks
+        with_genres, entries, "track_id", "b_track_id", "left", many="right"
     )
     # Tracks without a catalog entry have no artists; a hash in place of the
     # missing key keeps them from gathering in one task, and what it may meet by
@@ -55,11 +57,12 @@ def track_statistics(
     known = F.col("mcp_track_id").isNotNull()
     rows = keyed_join(
         titled.withColumn("artist_key", F.coalesce("mcp_track_id", F.xxhash64("track_id"))),
-        vocal_artists(artists),
+        vocal_artists(require_key(artists)),
         "artist_key",
         "track_id",
         "left",
-        left_like=entries.withColumnRenamed("mcp_track_id", "artist_key"),
+        # An entry comes once per track it belongs to, so its id does not repeat.
+        many="none",
     ).withColumn("artist_array", F.when(known, F.col("artist_array")))
     return stat_projection(rows, thresholds)
 
@@ -78,18 +81,23 @@ def candidate_report(
     Genre ids match as substrings of the id list unless ``whole_ids`` is set.
     """
     pick = genre_any if whole_ids else genre_substring
-    genres = pick(genre_listagg(genre_map, genre), genre_ids).drop("genre_id_array")
     tracks = min_popularity(track_all, threshold).select("track_id", "track_nm", "pop_score")
+    # Lists are made for popular tracks alone.
+    wanted = keyed_join(
+        genre_map, tracks.select("track_id").distinct(), "track_id", how="left_semi"
+    )
+    genres = pick(genre_listagg(wanted, genre), genre_ids).drop("genre_id_array")
+    heavy = {} if fits_broadcast(tracks) else heavy_keys(tracks, "track_id")
     entries = without_lyrics(mcp_track).select(
         "b_track_id", "track_artist_name_list", "lyric_yn", "sync_lyric_yn"
     )
     rows = keyed_join(
-        keyed_join(tracks, genres, "track_id"),
+        keyed_join(tracks, genres, "track_id", left_heavy=heavy),
         entries,
         "track_id",
         "b_track_id",
         many="both",
-        left_like=tracks,
+        left_heavy=heavy,
     )
     return rows.select(
         "track_id",

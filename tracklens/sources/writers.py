@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklens.constants import DAY_COLUMN
-from tracklens.schemas import METRICS_SRC_SCHEMA
+from tracklens.schemas import METRICS_SCHEMA, METRICS_SRC_SCHEMA
+from tracklens.session import scratch_dir
 
 
-def write_single_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> int:
+def write_single_csv(df: DataFrame, path: str, files: int = 1) -> int:
     """Write a CSV work list with header and return its rows; 0 rows write nothing.
 
-    It is one file as long as it has at most ``rows_per_file`` rows. A longer
-    list is dealt out over as many files as it needs, each with the header and
-    each from its own task, and reads back as the one path it is.
+    The list is one file unless ``files`` says otherwise; a folder of several, each
+    with the header and from its own task, reads back as the one path it is.
+    The rows are stored first and counted there, so they are worked out once.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = df.count()
-        if rows:
-            files = -(-rows // rows_per_file)
-            df.repartition(files).write.mode("overwrite").csv(path, header=True)
-        return rows
-    finally:
-        df.unpersist()
+    rows = materialize(df, scratch_dir(df.sparkSession, "list"), "rows")
+    n = rows.count()
+    if n:
+        rows.repartition(files).write.mode("overwrite").csv(path, header=True)
+    return n
 
 
 def write_daily(df: DataFrame, table: str, day: str, replace: str = "table") -> None:
@@ -99,18 +96,17 @@ def create_table_as(df: DataFrame, table: str) -> None:
     df.write.mode("errorifexists").saveAsTable(table)
 
 
-def ensure_metrics_table(spark: SparkSession, table: str) -> None:
-    """Create the daily metric table unless it exists."""
-    spark.sql(
-        f"""
-        CREATE TABLE IF NOT EXISTS {table} (
-            track_id INT, text_length INT, all_seg_cnt INT,
-            total_duration DOUBLE, speech_duration DOUBLE, speech_ratio DOUBLE,
-            nsp06_seg_cnt INT, nsp06_word_cnt INT, nsp06_unique_word_cnt INT,
-            {DAY_COLUMN} STRING
-        ) USING PARQUET PARTITIONED BY ({DAY_COLUMN})
-        """
-    )
+def ensure_metrics_table(spark: SparkSession, table: str, mode: str = "fixed") -> None:
+    """Create the daily metric table unless it exists.
+
+    Its whole numbers are BIGINT; ``mode="faithful"`` has INT, as ``cast_metrics`` does.
+    """
+    empty = spark.createDataFrame([], METRICS_SCHEMA)
+    if mode == "faithful":
+        whole = [f.name for f in METRICS_SCHEMA if f.dataType == T.LongType()]
+        empty = empty.withColumns({c: F.col(c).cast("int") for c in whole})
+    dated = empty.withColumn(DAY_COLUMN, F.lit(None).cast("string"))
+    dated.write.format("parquet").partitionBy(DAY_COLUMN).mode("ignore").saveAsTable(table)
 
 
 def create_metrics_src_table(spark: SparkSession, table: str, path: str, sep: str = ",") -> None:
@@ -122,17 +118,11 @@ def create_metrics_src_table(spark: SparkSession, table: str, path: str, sep: st
     )
 
 
-def materialize(
-    df: DataFrame, root: str, name: str, footprint: bool = True, show_schema: bool = False
-) -> DataFrame:
-    """Cut the lineage by writing ``df`` below ``root`` and reading it back.
+def materialize(df: DataFrame, root: str, name: str) -> DataFrame:
+    """``df`` read back from Parquet below ``root``: its plan starts at those files.
 
-    Without ``footprint`` it is only persisted in memory and on disk.
+    ``root`` must be in a file system that all executors share.
     """
-    if show_schema:
-        df.printSchema()
-    if not footprint:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = f"{root.rstrip('/')}/{name}.parquet"
+    df.write.parquet(target, mode="overwrite")
+    return df.sparkSession.read.schema(df.schema).parquet(target)

@@ -47,10 +47,14 @@ _EXCLUDED = f"SELECT DISTINCT track_id FROM track_all WHERE {_overlap('style_id_
 oracle("excluded_track_ids", _EXCLUDED, "track_all")
 oracle("require_key", "SELECT * FROM meta_raw WHERE track_id IS NOT NULL", "meta_raw")
 
-_LISTAGG = """
-    SELECT track_id, string_agg(svc_genre_nm, ',' ORDER BY svc_genre_nm) AS genre_array,
-           string_agg(CAST(svc_genre_id AS VARCHAR), ',' ORDER BY svc_genre_id) AS genre_id_array
-    FROM genre_map JOIN genre USING (svc_genre_id) GROUP BY track_id"""
+# A track's genres, name and id, one row per line of the map; NULL is a track too.
+_TRACK_GENRE = """
+    SELECT track_id, svc_genre_nm AS name, svc_genre_id AS id
+    FROM genre_map INNER JOIN genre USING (svc_genre_id)"""
+_LISTAGG = f"""
+    SELECT track_id, string_agg(name, ',' ORDER BY name) AS genre_array,
+           string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS genre_id_array
+    FROM ({_TRACK_GENRE}) GROUP BY track_id"""
 _SUBSTRING = " OR ".join(f"genre_id_array ILIKE '%{i}%'" for i in (19, 20, 22))
 oracle("genre_listagg", _LISTAGG, "genre_map", "genre")
 oracle(
@@ -58,8 +62,8 @@ oracle(
 )
 oracle(
     "genre_any",
-    f"""SELECT * FROM ({_LISTAGG}) WHERE track_id IN
-        (SELECT track_id FROM genre_map WHERE svc_genre_id IN (19, 20, 22))""",
+    f"""SELECT * FROM ({_LISTAGG})
+        WHERE list_has_any(string_split(genre_id_array, ','), ['19', '20', '22'])""",
     "genre_map",
     "genre",
 )
@@ -82,11 +86,12 @@ oracle(
     "meta",
     "mcp_track",
 )
-oracle(
-    "run_date",
-    """SELECT strftime(ts + INTERVAL 9 HOUR, '%Y%m%d') AS run_date, COUNT(*) AS n
-       FROM events GROUP BY 1""",
-)
+for _name in ("run_date", "run_date_instant"):
+    oracle(
+        _name,
+        """SELECT strftime(ts + INTERVAL 9 HOUR, '%Y%m%d') AS run_date, COUNT(*) AS n
+           FROM events GROUP BY 1""",
+    )
 
 # --- joins ------------------------------------------------------------------
 
@@ -145,12 +150,17 @@ def _newest(source: str, rest: str = "") -> str:
 oracle("dedupe_tracks", _newest("meta_raw"), "meta_raw")
 oracle("replace_via_staging", _newest("meta_raw"), "meta_raw")
 
+# Lists per track: of all its names; a list without names is empty, not NULL.
 _VOCALS = """
-    SELECT track_id, coalesce(string_agg(artist_text, ',' ORDER BY artist_text), '') AS artist_array
-    FROM mcp_artist WHERE artist_role_type = 'VOCAL' GROUP BY track_id"""
-_GENRES = """
-    SELECT track_id, coalesce(string_agg(svc_genre_nm, ',' ORDER BY svc_genre_nm), '') AS genre_array
-    FROM genre_map JOIN genre USING (svc_genre_id) GROUP BY track_id"""
+    SELECT track_id, array_to_string(list_sort(list_filter(names, lambda n: n IS NOT NULL)), ',')
+           AS artist_array
+    FROM (SELECT track_id, list(CASE WHEN artist_role_type = 'VOCAL' THEN artist_text END) AS names,
+                 bool_or(artist_role_type = 'VOCAL') AS sung FROM mcp_artist GROUP BY track_id)
+    WHERE sung"""
+_GENRES = f"""
+    SELECT track_id, array_to_string(list_sort(list_filter(list(name), lambda n: n IS NOT NULL)), ',')
+           AS genre_array
+    FROM ({_TRACK_GENRE}) GROUP BY track_id"""
 oracle("vocal_artists", _VOCALS, "mcp_artist")
 oracle("track_genres", _GENRES, "genre_map", "genre")
 
@@ -192,9 +202,10 @@ oracle(
     "stage_counts",
     """SELECT 'selected' AS stage, COUNT(*) AS n FROM track_all a
        WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.track_id = a.track_id)
-       UNION ALL SELECT 'uploaded', COUNT(*) FROM documents""",
+       UNION ALL SELECT 'uploaded', COUNT(*) FROM transcripts""",
     "track_all",
     "seen",
+    "transcripts",
 )
 _META_DAY = f"SELECT *, '{DAY}' AS yyyymmdd FROM meta"
 oracle(
@@ -254,7 +265,7 @@ def _over_metrics(sql: str) -> str:
     return f"WITH {_NESTED} {sql}"
 
 
-# The daily table has INT where the metrics are BIGINT.
+# The original contract has INT where the metrics are BIGINT.
 _INTS = ", ".join(
     f"CAST({c} AS INTEGER) AS {c}"
     for c in (
@@ -266,7 +277,7 @@ _INTS = ", ".join(
         "nsp06_unique_word_cnt",
     )
 )
-_LOADED = f"SELECT * REPLACE ({_INTS}) FROM metrics"
+_LOADED = "SELECT * FROM metrics"
 _CUT = f"SELECT * REPLACE ({_INTS}, CAST(trunc(total_duration) AS INTEGER) AS total_duration) FROM metrics"
 for _name in ("segment_metrics", "track_metrics"):
     oracle(_name, _over_metrics("SELECT * FROM metrics"), "transcripts")
@@ -276,11 +287,8 @@ for _name in ("upload_metrics", "ensure_metrics_table"):
     oracle(_name, _over_metrics(f"SELECT *, '{DAY}' AS yyyymmdd FROM ({_LOADED})"), "transcripts")
 oracle(
     "metrics_csv",
-    _over_metrics(
-        """SELECT CAST(track_id AS VARCHAR) AS track_id, CAST(all_seg_cnt AS VARCHAR) AS all_seg_cnt,
-                  CAST(nsp06_word_cnt AS VARCHAR) AS nsp06_word_cnt,
-                  CAST(nsp06_unique_word_cnt AS VARCHAR) AS nsp06_unique_word_cnt FROM metrics"""
-    ),
+    # Doubles are texts in the file; these print alike in both engines.
+    _over_metrics("SELECT CAST(COLUMNS(*) AS VARCHAR) FROM metrics"),
     "transcripts",
 )
 for _name in ("metrics_src_csv", "metrics_src_table"):
@@ -355,9 +363,25 @@ oracle(
 oracle(
     "results_quarantine",
     _over_metrics(
-        """SELECT track_id, 'good' AS kind, nsp06_word_cnt FROM metrics
-           UNION ALL SELECT doc_id, 'error', NULL FROM documents
-           UNION ALL SELECT NULL, 'timing', NULL FROM documents"""
+        """SELECT 'good' AS kind, CAST(NULL AS VARCHAR) AS line, * FROM metrics
+           UNION ALL BY NAME
+           SELECT doc_id AS track_id, 'error' AS kind,
+                  doc_id || ',"ERROR: no audio, skipped"' AS line FROM documents
+           UNION ALL BY NAME
+           SELECT 'timing' AS kind,
+                  (CASE WHEN lang = 'en' THEN '# ' ELSE '' END)
+                  || 'Total Processing Time: 0:00:' || doc_id AS line FROM documents"""
+    ),
+    "transcripts",
+)
+oracle(
+    "upload_large_ids",
+    _over_metrics(
+        f"""SELECT CASE WHEN track_id % 10 = 3 THEN 'id ' || track_id
+                   ELSE CAST(track_id + 3000000000 AS VARCHAR) END AS track_id, nsp06_word_cnt
+            FROM metrics
+            UNION ALL SELECT 'count of bad_key', COUNT(*) FROM metrics WHERE track_id % 10 = 3
+            UNION ALL SELECT 'count of uploaded', COUNT(*) FROM metrics WHERE track_id % 10 <> 3"""
     ),
     "transcripts",
 )
@@ -379,41 +403,54 @@ oracle("append_by_name", "SELECT * FROM meta UNION ALL SELECT * FROM meta", "met
 
 # --- scoring ----------------------------------------------------------------
 
-oracle(
-    "score_batches",
-    """SELECT doc_id AS track_id, CASE WHEN lang <> 'fr' THEN length(text) END AS text_length,
-              CASE WHEN lang = 'fr' THEN 'ValueError: no model for fr' END AS error
-       FROM documents""",
-)
+_SCORES = """
+    SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id + 9007199254740993 END AS track_id,
+           CASE WHEN lang <> 'fr' THEN length(text) END AS text_length,
+           CASE WHEN lang = 'fr' THEN 'ValueError: no model for fr' END AS error
+    FROM documents"""
+oracle("score_batches", _SCORES)
 oracle(
     "split_errors",
-    """SELECT doc_id AS track_id, CASE WHEN lang = 'fr' THEN 'error' ELSE 'ok' END AS part
-       FROM documents""",
+    f"SELECT *, CASE WHEN error IS NULL THEN 'ok' ELSE 'error' END AS part FROM ({_SCORES})",
 )
 
 # --- whole jobs -------------------------------------------------------------
 
 
+# Chosen ids: sets first (known styles, done), then how often each id stands in both catalogs.
 def _candidates(done: str) -> str:
     return f"""
-        SELECT a.track_id FROM track_all a JOIN mcp_track m ON a.track_id = m.b_track_id
-        LEFT JOIN {done} d ON a.track_id = d.track_id
-        WHERE a.pop_score >= 0.2 AND m.lyric_yn = 'N' AND m.sync_lyric_yn = 'N'
-          AND d.track_id IS NULL
-          AND (a.style_id_list IS NULL OR NOT ({_overlap('a.style_id_list')}))"""
-
-
-for _name in ("create_candidates", "work_list"):
-    oracle(_name, _candidates("seen"), "track_all", "mcp_track", "seen")
+        SELECT track_id FROM (
+            SELECT a.track_id, unnest(range(a.n * e.n))
+            FROM (SELECT track_id, COUNT(*) AS n FROM track_all
+                  WHERE pop_score >= 0.2 AND coalesce(NOT ({_overlap('style_id_list')}), style_id_list IS NULL)
+                  GROUP BY track_id) a
+            JOIN (SELECT b_track_id, COUNT(*) AS n FROM mcp_track
+                  WHERE (lyric_yn, sync_lyric_yn) = ('N', 'N') GROUP BY b_track_id) e
+              ON e.b_track_id = a.track_id
+            WHERE a.track_id NOT IN (SELECT track_id FROM {done} WHERE track_id IS NOT NULL))"""
+
+
+oracle("create_candidates", _candidates("seen"), "track_all", "mcp_track", "seen")
+oracle(
+    "work_list",
+    f"""SELECT track_id, CAST(NULL AS VARCHAR) AS reject FROM ({_candidates('seen')})
+        UNION ALL SELECT NULL, track_artist_name_list FROM mcp_track""",
+    "track_all",
+    "mcp_track",
+    "seen",
+)
 
 
 def _statistics(source: str) -> str:
+    """Each catalog entry as a described track, then what the target has of it."""
     return f"""
-        SELECT t.track_id, m.track_title, v.artist_array, g.genre_array, m.lyric_yn,
-               t.nsp06_word_cnt, t.nsp06_unique_word_cnt, {_TIERS}
-        FROM {source} t LEFT JOIN mcp_track m ON t.track_id = m.b_track_id
-        LEFT JOIN ({_VOCALS}) v ON m.track_id = v.track_id
-        LEFT JOIN ({_GENRES}) g ON t.track_id = g.track_id"""
+        SELECT track_id, track_title, artist_array, genre_array, lyric_yn,
+               nsp06_word_cnt, nsp06_unique_word_cnt, {_TIERS}
+        FROM {source}
+        LEFT JOIN (SELECT b_track_id AS track_id, track_title, lyric_yn, artist_array
+                   FROM mcp_track LEFT JOIN ({_VOCALS}) USING (track_id)) described USING (track_id)
+        LEFT JOIN ({_GENRES}) genres USING (track_id)"""
 
 
 oracle(
@@ -427,29 +464,27 @@ oracle(
 )
 oracle(
     "candidate_report",
-    f"""SELECT a.track_id, a.track_nm, m.track_artist_name_list, m.lyric_yn, m.sync_lyric_yn,
-               g.genre_array, a.pop_score
-        FROM track_all a JOIN mcp_track m ON a.track_id = m.b_track_id
-        JOIN ({_LISTAGG}) g ON a.track_id = g.track_id
-        WHERE a.pop_score >= 0.2 AND m.lyric_yn = 'N' AND m.sync_lyric_yn = 'N'
-          AND ({_SUBSTRING})
-        ORDER BY a.pop_score DESC, a.track_id""",
+    f"""WITH wanted AS (SELECT track_id, genre_array FROM ({_LISTAGG}) WHERE {_SUBSTRING}),
+        silent AS (SELECT b_track_id AS track_id, track_artist_name_list, lyric_yn, sync_lyric_yn
+                   FROM mcp_track WHERE concat(lyric_yn, sync_lyric_yn) = 'NN'),
+        popular AS (SELECT track_id, track_nm, pop_score FROM track_all WHERE pop_score >= 0.2)
+        SELECT * FROM wanted NATURAL JOIN silent NATURAL JOIN popular""",
     "track_all",
     "mcp_track",
     "genre_map",
     "genre",
 )
 
-# The day: choose, transcribe (French fails), append to the target, refresh, publish.
+# The day: choose, transcribe (French fails, some have no text), append, refresh, publish.
 _SCORED = f"""
         todo AS ({_candidates('target_full')}),
         scored AS (SELECT t.*, lang FROM todo JOIN transcripts t USING (track_id)
                    JOIN documents ON doc_id = t.track_id),
         {_metrics(
-            _DOC_SEGMENTS.replace("FROM transcripts", "FROM scored WHERE lang <> 'fr'"),
+            _DOC_SEGMENTS.replace("FROM transcripts", "FROM once"),
             "SELECT * FROM scored WHERE lang <> 'fr'",
             "coalesce(length(text), 0)",
-        )},
+        ).replace("seg AS", "once AS (SELECT DISTINCT ON (track_id) * FROM scored), seg AS", 1)},
         appended AS (SELECT * FROM target_full
                      UNION ALL SELECT *, '{DAY}' FROM metrics)"""
 _DAILY_VIEWS = "transcripts target_full track_all mcp_track mcp_artist genre_map genre".split()
@@ -463,8 +498,11 @@ oracle(
     f"""WITH {_SCORED}, {_refresh('appended', 'track_id')}
         {_REFRESH_COUNTS.format(source='appended')}
         UNION ALL SELECT 'selected', COUNT(*) FROM todo
+        UNION ALL SELECT 'rejected', 0
         UNION ALL SELECT 'transcribed', COUNT(*) FROM metrics
         UNION ALL SELECT 'failed', COUNT(*) FROM scored WHERE lang = 'fr'
+        UNION ALL SELECT 'missing', COUNT(*) FROM todo WHERE track_id NOT IN (SELECT doc_id FROM documents)
+        UNION ALL SELECT 'bad_key', 0
         UNION ALL SELECT 'uploaded', COUNT(*) FROM metrics""",
     *_DAILY_VIEWS,
 )

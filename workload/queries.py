@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklens import operators as ops
 from tracklens import plans, sources
@@ -18,6 +19,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAY = "20240103"
+_SCRATCH = "scratch_"
 EXCERPT = {"rate": 1, "keep_s": 45, "slice_s": 15}
 
 
@@ -36,12 +38,21 @@ def query(name: str, *views: str) -> Callable[[Callable[..., DataFrame]], Query]
 
 
 def scratch_database(spark: SparkSession) -> str:
-    """A new database whose tables lie in a new shared folder."""
-    name = f"scratch_{uuid.uuid4().hex}"
+    """A new database whose tables lie in a new shared folder.
+
+    The frames that queries return read its tables; ``drop_scratch`` comes after that.
+    """
+    name = f"{_SCRATCH}{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_dir(spark, name)}'")
     return name
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Drop the scratch databases of queries whose results have been read."""
+    for db in spark.catalog.listDatabases(f"{_SCRATCH}*"):
+        spark.sql(f"DROP DATABASE {db.name} CASCADE")
+
+
 TRACK = ["track_id", "track_nm", "pop_score"]
 
 
@@ -145,6 +156,15 @@ def _(spark, events):
     return ops.with_run_date(events, "ts").groupBy("run_date").agg(F.count("*").alias("n"))
 
 
+@query("run_date_instant", "events")
+def _(spark, events):
+    """The same from a TIMESTAMP, whatever the session's zone."""
+    ntz = F.col("ts").cast("timestamp_ntz")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ntz)
+    instants = events.select(F.timestamp_micros(micros).alias("ts"))
+    return ops.with_run_date(instants, "ts").groupBy("run_date").agg(F.count("*").alias("n"))
+
+
 # --- joins ------------------------------------------------------------------
 
 
@@ -277,9 +297,7 @@ def _samples(embeddings: DataFrame) -> DataFrame:
 def _(spark, transcripts):
     path = scratch_dir(spark, "metrics")
     plans.track_metrics(transcripts).write.csv(path, header=True)
-    return sources.read_metrics_csv(spark, path).select(
-        "track_id", "all_seg_cnt", "nsp06_word_cnt", "nsp06_unique_word_cnt"
-    )
+    return sources.read_metrics_csv(spark, path)
 
 
 @query("metrics_src_csv", "transcripts")
@@ -316,8 +334,14 @@ def _(spark, documents):
 def _(spark, track_all, mcp_track, seen):
     path = scratch_dir(spark, "work_list")
     todo = plans.create_candidates(track_all, mcp_track, seen, style_ids=TEST_STYLE_IDS)
-    sources.write_single_csv(todo, path)
-    return sources.read_work_list(spark, path)[0]
+    # Names among the ids, as a damaged list would have them.
+    names = mcp_track.select(F.col("track_artist_name_list").alias("track_id"))
+    listed = todo.select(F.col("track_id").cast("string")).unionByName(names)
+    sources.write_single_csv(listed, path, files=2)
+    ids, rejects = sources.read_work_list(spark, path)
+    return ids.select("track_id", F.lit(None).cast("string").alias("reject")).union(
+        rejects.select(F.lit(None).cast("bigint"), "value")
+    )
 
 
 @query("results_quarantine", "transcripts", "documents")
@@ -336,9 +360,7 @@ def _(spark, transcripts, documents):
     header = spark.range(1).select(F.lit(",".join(METRIC_COLUMNS)))
     header.union(metrics).union(failed).union(timing).write.text(path)
     good, bad = sources.read_results_quarantine(spark, path)
-    return good.select("track_id", F.lit("good").alias("kind"), "nsp06_word_cnt").union(
-        bad.select("track_id", "kind", F.lit(None).cast("bigint"))
-    )
+    return good.withColumn("kind", F.lit("good")).unionByName(bad, allowMissingColumns=True)
 
 
 @query("verdict_log_counts", "transcripts")
@@ -472,7 +494,11 @@ def _scored(documents: DataFrame) -> DataFrame:
         return score
 
     rows = documents.select(F.col("doc_id").alias("track_id"), "lang", "text")
-    return ops.score_batches(rows, make_scorer, "text_length bigint")
+    # Large ids beside NULL ones: both must come through untouched.
+    large = F.when(F.col("track_id") % 7 != 0, F.col("track_id") + 9_007_199_254_740_993)
+    return ops.score_batches(
+        rows.withColumn("track_id", large), ops.row_by_row(make_scorer), "text_length bigint"
+    )
 
 
 @query("score_batches", "documents")
@@ -484,8 +510,8 @@ def _(spark, documents):
 def _(spark, documents):
     folder = scratch_dir(spark, "scored")
     ok, errors = ops.split_errors(sources.materialize(_scored(documents), folder, "all"))
-    return ok.select("track_id", F.lit("ok").alias("part")).union(
-        errors.select("track_id", F.lit("error"))
+    return ok.withColumn("part", F.lit("ok")).unionByName(
+        errors.withColumn("part", F.lit("error")), allowMissingColumns=True
     )
 
 
@@ -511,6 +537,30 @@ def _(spark, transcripts):
     return sources.read_table(spark, name)
 
 
+@query("upload_large_ids", "transcripts")
+def _(spark, transcripts):
+    """Ids beyond INT from the metric file to the refreshed target; a few are no number."""
+    path, db = scratch_dir(spark, "detect"), scratch_database(spark)
+    metrics = plans.track_metrics(transcripts)
+    text_id = F.when(F.col("track_id") % 10 == 3, F.concat(F.lit("id "), "track_id")).otherwise(
+        (F.col("track_id") + 3_000_000_000).cast("string")
+    )
+    metrics.withColumn("track_id", text_id).write.csv(path, header=True)
+    audit = plans.Audit()
+    bad = f"{path}_bad"
+    plans.upload_metrics(spark, path, f"{db}.daily", DAY, audit=audit, bad_keys=bad)
+    sources.ensure_metrics_table(spark, f"{db}.target")
+    plans.append_source(sources.read_table(spark, f"{db}.daily", DAY), f"{db}.target")
+    kept = ops.dedupe_tracks(sources.read_table(spark, f"{db}.target")).select(
+        F.col("track_id").cast("string").alias("track_id"), "nsp06_word_cnt"
+    )
+    set_aside = sources.read_metrics_csv(spark, bad).select(
+        "track_id", F.col("nsp06_word_cnt").cast("bigint")
+    )
+    counts = audit.frame(spark).select(F.concat(F.lit("count of "), "stage"), "n")
+    return kept.union(set_aside).union(counts)
+
+
 @query("refresh_target", "meta_raw", "track_all", "mcp_track")
 def _(spark, meta_raw, track_all, mcp_track):
     return plans.refresh_target(meta_raw, track_all, mcp_track, TEST_STYLE_IDS)
@@ -544,10 +594,26 @@ def _run_day(spark, transcripts, documents, target, *inputs) -> tuple[DataFrame,
     for name, df in zip(_DAILY_INPUTS, inputs):
         df.createOrReplaceTempView(views[name])
     target.write.saveAsTable(f"{db}.target")
-    error = F.when(F.col("lang") == "fr", "no model for fr")
     texts = transcripts.join(
-        documents.select(F.col("doc_id").alias("track_id"), error.alias("error")), "track_id"
+        documents.select(F.col("doc_id").alias("track_id"), "lang"), "track_id"
     )
+
+    def make_scorer():
+        def score(row):
+            if row["lang"] == "fr":
+                raise ValueError("no model for fr")
+            return {"text": row["text"], "segments": row["segments"]}
+
+        return score
+
+    def transcribe(ids):
+        # What has no text is not returned.
+        return ops.score_batches(
+            ids.join(texts, "track_id"),
+            ops.row_by_row(make_scorer),
+            T.StructType([f for f in transcripts.schema if f.name != "track_id"]),
+        )
+
     tables = plans.DailyTables(
         **views,
         daily=f"{db}.daily",
@@ -560,7 +626,7 @@ def _run_day(spark, transcripts, documents, target, *inputs) -> tuple[DataFrame,
         spark,
         tables,
         scratch_dir(spark, "daily"),
-        lambda ids: ids.join(texts, "track_id"),
+        transcribe,
         DAY,
     )
     for view in views.values():

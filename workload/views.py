@@ -1,10 +1,10 @@
 """The batch's input tables, derived from the given Parquet tables.
 
 One SQL text per view serves both engines; ``ARR(`` stands for the array
-constructor and ``{name}`` for another table or view. Every view keeps all rows
-of the tables it is made from. What must be missing for a test of an outer or
-anti join is made unmatchable (a negative or NULL key, another role) rather than
-left out, so each query's work grows with the whole tables.
+constructor and ``{name}`` for another table or view. Every view uses all rows of the
+tables it is made from, none is filtered, and no value is blanked to have its row
+dropped later: what outer and anti joins leave unmatched comes from tables whose ids
+overlap in part only. Keys repeat on both sides of the catalog joins, and some are NULL.
 """
 
 from __future__ import annotations
@@ -23,42 +23,43 @@ TABLES = (
 TEST_STYLE_IDS = [3, 7, 19, 22, 29, 35, 41]
 
 VIEWS: dict[str, str] = {
+    # Every sixth part repeats the track before it.
     "track_all": """
-        SELECT p_partkey AS track_id, p_name AS track_nm,
-               CAST((p_partkey * 37) % 100 AS DOUBLE) / 100 AS pop_score,
+        SELECT CASE WHEN p_partkey % 6 = 4 THEN p_partkey - 1 ELSE p_partkey END AS track_id,
+               p_name AS track_nm, CAST((p_partkey * 37) % 100 AS DOUBLE) / 100 AS pop_score,
                CASE WHEN p_size % 10 = 0 THEN NULL
                     WHEN p_size % 7 = 0 THEN ARR(p_size, NULL)
                     ELSE ARR(p_size, CAST(p_partkey % 50 AS INT)) END AS style_id_list
         FROM {part}""",
-    # Its own id is shifted by 100, so a join on the wrong id shows. One part in
-    # 17 gets negative ids, which no other view has.
+    # Its own id is shifted by 100, so a join on the wrong id shows. Every fifth entry
+    # belongs to the track before, and one in 17 to a track that is not in the catalog.
     "mcp_track": """
-        SELECT CASE WHEN p_partkey % 17 = 0 THEN -1 - p_partkey ELSE p_partkey + 100 END AS track_id,
-               CASE WHEN p_partkey % 17 = 0 THEN -1 - p_partkey ELSE p_partkey END AS b_track_id,
+        SELECT p_partkey + 100 AS track_id,
+               CASE WHEN p_partkey % 17 = 0 THEN -1 - p_partkey
+                    WHEN p_partkey % 5 = 0 THEN p_partkey - 1 ELSE p_partkey END AS b_track_id,
                p_name AS track_title, p_brand AS track_artist_name_list,
                CASE WHEN p_partkey % 11 = 0 THEN NULL
                     WHEN p_partkey % 3 = 0 THEN 'Y' ELSE 'N' END AS lyric_yn,
                CASE WHEN p_partkey % 8 = 0 THEN 'Y' ELSE 'N' END AS sync_lyric_yn
         FROM {part}""",
-    # NULL names included; roles by return flag on first lines, others elsewhere.
+    # NULL names and tracks included; a track repeats its artists.
     "mcp_artist": """
-        SELECT l_partkey + 100 AS track_id,
+        SELECT CASE WHEN l_partkey % 83 = 0 THEN NULL ELSE l_partkey + 100 END AS track_id,
                CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE s_name END AS artist_text,
-               CASE WHEN l_linenumber <> 1 THEN 'PLAYER'
-                    WHEN l_returnflag = 'A' THEN 'VOCAL'
+               CASE WHEN l_returnflag = 'A' THEN 'VOCAL'
                     WHEN l_returnflag = 'R' THEN 'COMPOSER'
                     ELSE 'LYRICIST' END AS artist_role_type
         FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey""",
-    # Genre ids come from second lines; the others have none.
+    # One pair per line, so pairs repeat; some have no track, some no genre.
     "genre_map": """
-        SELECT DISTINCT l_partkey AS track_id,
-               CASE WHEN l_linenumber = 2 THEN CAST(s_nationkey AS BIGINT) END AS svc_genre_id
+        SELECT CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE l_partkey END AS track_id,
+               CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE CAST(s_nationkey AS BIGINT) END AS svc_genre_id
         FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey""",
-    # Genre 24 hides behind a negative key, so map rows with 24 find no partner.
+    # Genre 24 has another id here, so map rows with 24 find no partner; one has no name.
     "genre": """
         SELECT CASE WHEN n_nationkey = 24 THEN CAST(-24 AS BIGINT)
                     ELSE CAST(n_nationkey AS BIGINT) END AS svc_genre_id,
-               n_name AS svc_genre_nm
+               CASE WHEN n_nationkey = 7 THEN NULL ELSE n_name END AS svc_genre_nm
         FROM {nation}""",
     # The target before its refresh: two days, so two rows per track, and NULL keys.
     "meta_raw": """
@@ -67,24 +68,22 @@ VIEWS: dict[str, str] = {
                COUNT(DISTINCT l_suppkey) AS nsp06_unique_word_cnt,
                CASE WHEN l_linenumber <= 4 THEN '20240101' ELSE '20240102' END AS yyyymmdd
         FROM {lineitem} GROUP BY 1, 4""",
-    # Already processed: every fourth track, and a NULL for all others.
-    "seen": """
-        SELECT DISTINCT CASE WHEN track_id % 4 = 0 THEN track_id END AS track_id
-        FROM {meta_raw}""",
-    # One row per track: the first day's part of the target.
+    # Already processed: twice the ids of customers, which meet even tracks only; repeated.
+    "seen": "SELECT o_custkey * 2 AS track_id FROM {orders}",
+    # One row per track over all lines.
     "meta": """
-        SELECT track_id, nsp06_word_cnt, nsp06_unique_word_cnt
-        FROM {meta_raw} WHERE yyyymmdd = '20240101' AND track_id IS NOT NULL""",
-    # A target as the daily job keeps it: all metric columns, two days per track,
-    # and no key on the rows of tracks that are still to be done.
+        SELECT l_partkey AS track_id, COUNT(*) AS nsp06_word_cnt,
+               COUNT(DISTINCT l_suppkey) AS nsp06_unique_word_cnt
+        FROM {lineitem} GROUP BY 1""",
+    # A target as the daily job keeps it: all metric columns, rows of two days per track.
     "target_full": """
-        SELECT CASE WHEN track_id % 4 = 0 THEN track_id END AS track_id,
-               nsp06_word_cnt * 6 AS text_length, nsp06_word_cnt AS all_seg_cnt,
-               CAST(nsp06_word_cnt AS DOUBLE) AS total_duration,
-               CAST(nsp06_word_cnt AS DOUBLE) / 2 AS speech_duration,
-               CAST(0.5 AS DOUBLE) AS speech_ratio, nsp06_word_cnt AS nsp06_seg_cnt,
-               nsp06_word_cnt, nsp06_unique_word_cnt, yyyymmdd
-        FROM {meta_raw}""",
+        SELECT o_custkey * 2 AS track_id, COUNT(*) * 6 AS text_length, COUNT(*) AS all_seg_cnt,
+               CAST(COUNT(*) AS DOUBLE) AS total_duration,
+               CAST(COUNT(*) AS DOUBLE) / 2 AS speech_duration,
+               CAST(0.5 AS DOUBLE) AS speech_ratio, COUNT(*) AS nsp06_seg_cnt,
+               COUNT(*) AS nsp06_word_cnt, COUNT(DISTINCT o_orderpriority) AS nsp06_unique_word_cnt,
+               CASE WHEN o_orderkey % 2 = 0 THEN '20240101' ELSE '20240102' END AS yyyymmdd
+        FROM {orders} GROUP BY 1, 10""",
     # Probability missing for 'system', exactly 0.6 present; all times are
     # multiples of 1/8 second, so sums of them are exact in any order.
     "segments": """
@@ -97,34 +96,37 @@ VIEWS: dict[str, str] = {
 }
 
 # Nested transcripts: each whole document is one track and each of its lines one
-# segment; one document in 13 has no segment list. Lambdas differ by engine.
+# segment. Every benchmark text comes as a track without segments, NULL or an empty
+# list. Lambdas differ by engine.
 _TRANSCRIPTS = """
-    SELECT doc_id AS track_id, text,
-           CASE WHEN doc_id % 13 = 0 THEN NULL ELSE {segments} END AS segments
-    FROM {{documents}}"""
+    SELECT doc_id AS track_id, text, {segments} AS segments FROM {{documents}}
+    UNION ALL
+    SELECT -1 - item_id, text, CASE WHEN item_id % 2 = 0 THEN {empty} END FROM {{benchmark}}"""
 SPARK_VIEWS = {
     **VIEWS,
     "transcripts": _TRANSCRIPTS.format(
+        empty="array()",
         segments="""
            transform(split(text, '\\n'), (line, i) -> named_struct(
                'start', CAST(i * 10 AS DOUBLE),
                'end', CAST(i * 10 + 2 AS DOUBLE) + CAST(length(line) % 60 AS DOUBLE) / 8,
                'text', line,
                'no_speech_prob', CASE WHEN (doc_id + i) % 11 = 0 THEN NULL
-                    ELSE CAST((doc_id * 7 + i * 13) % 10 AS DOUBLE) / 10 END))"""
+                    ELSE CAST((doc_id * 7 + i * 13) % 10 AS DOUBLE) / 10 END))""",
     ),
 }
 DUCKDB_VIEWS = {
     **VIEWS,
     # Element numbers start at 1 here, at 0 above.
     "transcripts": _TRANSCRIPTS.format(
+        empty="[]",
         segments="""
            list_transform(string_split(text, chr(10)), lambda line, k: struct_pack(
                "start" := CAST((k - 1) * 10 AS DOUBLE),
                "end" := CAST((k - 1) * 10 + 2 AS DOUBLE) + CAST(length(line) % 60 AS DOUBLE) / 8,
                "text" := line,
                "no_speech_prob" := CASE WHEN (doc_id + k - 1) % 11 = 0 THEN NULL
-                    ELSE CAST((doc_id * 7 + (k - 1) * 13) % 10 AS DOUBLE) / 10 END))"""
+                    ELSE CAST((doc_id * 7 + (k - 1) * 13) % 10 AS DOUBLE) / 10 END))""",
     ),
 }
 
