@@ -52,7 +52,9 @@ POLICIES = {
     "v3": BASE
     | mask_of("symbol_heavy", "duplicate_lines", "shouting", "marks", "word_length", "no_letters"),
 }
-CURRENT = "v3"
+# v4: repeated lines are left to line deduplication; prose that quotes itself stays.
+POLICIES["v4"] = POLICIES["v3"] & ~mask_of("duplicate_lines")
+CURRENT = "v4"
 
 MEASURES = [
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

@@ -29,6 +29,8 @@ _CACHE = 1 << 18
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
+# Where no piece begins, one character goes by itself.
+_UNKNOWN_ARC = ((1, -1),)
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -128,19 +130,23 @@ class Model:
         return self.arcs[symbols[0]], self.arcs[symbols[1]]
 
     @cached_property
-    def starts(self) -> set[str]:
-        """All beginnings of pieces: where a walk along the pieces may go on."""
-        return {p[:k] for p in self.arcs for k in range(1, len(p) + 1)}
+    def tree(self) -> dict:
+        """The pieces as a tree of characters; under 0, all pieces on the way as (length, id)."""
+        root: dict = {0: ()}
+        for piece, i in sorted(self.arcs.items()):
+            node = root
+            for c in piece:
+                node = node.setdefault(c, {0: node[0]})
+            node[0] += ((len(piece), i),)
+        return root
 
     @cached_property
     def cuts(self) -> re.Pattern:
         """Splits text where no piece can stand across: before spaces and around line ends."""
         inner = {p[k : k + 2] for p in self.arcs for k in range(len(p) - 1)}
-        spaced = not any(x[1] == SPACE and x[0] != SPACE for x in inner)
-        lines = not any("\n" in p for p in self.arcs)
-        if spaced and lines:
-            return re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-        return re.compile("(?s).+")
+        if any(x[1] == SPACE and x[0] != SPACE for x in inner) or any("\n" in p for p in self.arcs):
+            return re.compile("(?s).+")
+        return re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
     def side_by_side(self, a: int, b: int) -> bool:
         """Whether no merge across the border of two pieces comes before those inside them."""
@@ -160,7 +166,7 @@ class Model:
                 return True
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "starts", "surfaces", "_paths", "_pairs")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "tree", "surfaces", "_paths", "_pairs")}
 
     def normalise(self, text: str) -> str:
         if self.trim:
@@ -195,46 +201,59 @@ class Model:
         return (self.unknown,)
 
     def _merged(self, text: str) -> tuple[int, ...]:
+        """The one finite path: all its arcs weigh 0, so the first whole path found is the shortest.
+
+        Depth first with the longest pieces first. A position's state is settled by the text
+        before it, so a position from which no path led on is never tried again.
+        """
         if text in self.arcs:
             return (self.arcs[text],)
-        n, arcs, longest, starts = len(text), self.arcs, self.longest, self.starts
+        n, root, longest = len(text), self.tree, self.longest
         pairs = self.__dict__.setdefault("_pairs", {})
         if len(pairs) >= 4 * _CACHE:
             pairs.clear()
-        last: list[int | None] = [None] * (n + 1)
-        last[0] = -1
-        for at in range(n):
-            before = last[at]
-            if before is None:
-                continue
-            if text[at] not in arcs:
-                last[at + 1] = -1
-                continue
-            for end in range(at + 1, min(n, at + longest) + 1):
-                part = text[at:end]
-                if part not in starts:
-                    break
-                piece = arcs.get(part)
-                if piece is None or last[end] is not None:
+        dead: set[int] = set()
+        out: list[int] = []
+        begun: list[int] = []
+        left: list[tuple] = []
+        at, arcs, k, before = 0, None, 0, -1
+        while at < n:
+            if arcs is None:
+                node = root
+                for c in text[at : at + longest]:
+                    step = node.get(c)
+                    if step is None:
+                        break
+                    node = step
+                arcs = node[0] or _UNKNOWN_ARC
+                k = len(arcs)
+            while k:
+                k -= 1
+                size, piece = arcs[k]
+                if dead and at + size in dead:
                     continue
-                if before >= 0:
+                if before >= 0 and piece >= 0:
                     pair = before << 32 | piece
                     fits = pairs.get(pair)
                     if fits is None:
                         fits = pairs[pair] = self.side_by_side(before, piece)
                     if not fits:
                         continue
-                last[end] = piece
-        out, at = [], n
-        while at:
-            piece = last[at]
-            if piece < 0:
-                out += reversed(self._bytes_of(text[at - 1]))
-                at -= 1
-            else:
                 out.append(piece)
-                at -= len(self.names[piece])
-        return tuple(reversed(out))
+                begun.append(at)
+                left.append((arcs, k))
+                at, arcs, before = at + size, None, piece
+                break
+            else:
+                dead.add(at)
+                out.pop()
+                at = begun.pop()
+                arcs, k = left.pop()
+                before = out[-1] if out else -1
+        if -1 not in out:
+            return tuple(out)
+        spelled = ((p,) if p >= 0 else self._bytes_of(text[i]) for i, p in zip(begun, out, strict=True))
+        return tuple(chain.from_iterable(spelled))
 
     def _lightest(self, text: str) -> tuple[int, ...]:
         n, arcs = len(text), self.arcs
