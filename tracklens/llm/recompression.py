@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklens.llm.common import column_of, prepare, raw_texts
+from tracklens.llm.common import column_of, prepare, raw_texts, stored
 
 WINDOW = 20
 ROUNDS = 2
@@ -296,10 +296,13 @@ def _remove(text: str, window: int, names: list[str]):
         for batch in batches:
             kept, words_n, removed = [], [], []
             runs = column_of(batch, "runs").to_pylist()
-            for packed, found in zip(column_of(batch, "packed").to_pylist(), runs, strict=True):
+            copies = column_of(batch, "copy").to_pylist()
+            for packed, found, copy in zip(column_of(batch, "packed").to_pylist(), runs, copies, strict=True):
                 words = unpack(packed).split()
                 words_n.append(len(words))
-                if found:
+                if copy and len(words) >= window:
+                    words = []
+                elif found:
                     steps = np.zeros(len(words) + 1, np.int64)
                     at = np.array([(r["pos"], r["len"]) for r in found], np.int64)
                     at = at[at[:, 0] + at[:, 1] + window - 2 < len(words)]
@@ -357,8 +360,18 @@ def remove_repeats(
     schema = T.StructType(
         [kinds[n] for n in [*rest, "doc", "h"]] + [T.StructField("packed", T.BinaryType())]
     )
-    packed = plain.mapInArrow(_pack(place[text], [*rest, "doc", "h"]), schema)
-    texts = packed.select("doc", "h", "packed")
+    # Of equal texts only the first is looked into: all windows of the others start earlier there.
+    same = [F.xxhash64(place[text]).alias("k"), F.length(place[text]).alias("n")]
+    ids = stored(plain.where(F.length(place[text]) > 0).select("doc", "h", *same), "text-names")
+    firsts = ids.groupBy("k", "h", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("final"))
+    copies = stored(
+        ids.join(firsts.where("first <> final").drop("final"), ["k", "h", "n"])
+        .where("doc <> first").select("doc", "h").distinct(),
+        "text-copies",
+    )
+    # The texts are dealt out once; all steps below read that one exchange.
+    packed = plain.mapInArrow(_pack(place[text], [*rest, "doc", "h"]), schema).repartition("doc", "h")
+    texts = packed.join(copies, ["doc", "h"], "left_anti")
     anchors = texts.mapInArrow(_anchors(window, rounds), "key long, doc long, h int, known boolean")
     spread = F.when(F.col("known"), F.xxhash64("doc", "key")).otherwise(F.col("key"))
     every = W.partitionBy("known", "slot")
@@ -378,7 +391,9 @@ def remove_repeats(
         .where("known or doc <> fd or pos <> fp")
         .groupBy("doc", "h").agg(F.collect_list(F.struct("pos", "len")).alias("runs"))
     )
-    joined = packed.join(later, ["doc", "h"], "left")
+    joined = packed.join(later, ["doc", "h"], "left").join(
+        copies.withColumn("copy", F.lit(True)), ["doc", "h"], "left"
+    )
     renamed = T.StructType([T.StructField(place.get(f.name, f.name), f.dataType) for f in out.fields])
     names = [place.get(f.name, f.name) for f in out.fields]
     return joined.mapInArrow(_remove(place[text], window, names), renamed).toDF(*out.fieldNames())
