@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -26,6 +27,10 @@ from tracklens.llm.common import column_of, prepare
 SPACE = "▁"
 MOST_MODEL_BYTES = 32 << 20
 _CACHE = 1 << 18
+# Stretches of more characters are walked one by one and not remembered.
+_SHORT = 64
+# Characters of texts that are encoded together.
+_TOGETHER = 1 << 19
 # Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -165,8 +170,23 @@ class Model:
             else:
                 return True
 
+    def _side_by_side_all(self, pair: np.ndarray) -> np.ndarray:
+        """``side_by_side`` for packed pairs; a sorted table remembers a bounded number of them."""
+        keys, said = self.__dict__.get("_table") or (np.full(1, -1), np.zeros(1, bool))
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        new = np.unique(pair[keys[at] != pair])
+        if len(new):
+            if len(keys) > 8 * _CACHE:
+                keys, said, new = np.full(1, -1), np.zeros(1, bool), np.unique(pair)
+            fits = np.array([self.side_by_side(x >> 32, x & 0xFFFFFFFF) for x in new.tolist()])
+            place = np.searchsorted(keys, new)
+            keys, said = np.insert(keys, place, new), np.insert(said, place, fits)
+            self._table = keys, said
+            at = np.searchsorted(keys, pair)
+        return said[at]
+
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "tree", "surfaces", "_paths", "_pairs")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "tree", "surfaces", "_arrays", "_paths", "_pairs", "_table")}
 
     def normalise(self, text: str) -> str:
         if self.trim:
@@ -176,24 +196,117 @@ class Model:
 
     def encode(self, text: str) -> list[int]:
         """Piece ids of a whole text."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Piece ids of whole texts; equal stretches are worked out once and remembered for a while."""
         paths = self.__dict__.setdefault("_paths", {})
-        found = self.cuts.findall(self.normalise(text))
-        out: list[tuple[int, ...]] = []
-        for part in found:
-            ids = paths.get(part)
-            if ids is None:
-                ids = self._path(part)
-                if len(part) <= 64:
-                    if len(paths) >= _CACHE:
-                        paths.clear()
-                    paths[part] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
+        found = [self.cuts.findall(self.normalise(t)) for t in texts]
+        every = set(chain.from_iterable(found))
+        new = every - paths.keys()
+        if len(paths) + len(new) > _CACHE:
+            paths.clear()
+            new = every
+        short = [p for p in new if len(p) <= _SHORT]
+        if self.kind == BPE and len(short) > 50:
+            paths.update(zip(short, self._merged_all(short), strict=True))
+        else:
+            paths.update((p, self._path(p)) for p in short)
+        long = [p for p in new if len(p) > _SHORT]
+        paths.update((p, self._path(p)) for p in long)
+        out = [list(chain.from_iterable(map(paths.__getitem__, parts))) for parts in found]
+        for p in long:
+            del paths[p]
+        return out
 
     def _path(self, text: str) -> tuple[int, ...]:
         """Shortest path through the composition of one stretch with the pieces."""
         return self._merged(text) if self.kind == BPE else self._lightest(text)
 
+    @cached_property
+    def _arrays(self) -> tuple[np.ndarray, ...]:
+        """The tree of pieces as arrays: sorted (node, char) keys, their nodes, and each node's piece."""
+        keys, nodes, pieces, todo = [], [], [-1], [(0, self.tree)]
+        while todo:
+            number, node = todo.pop()
+            for c, step in node.items():
+                if c == 0:
+                    continue
+                keys.append(number << 21 | ord(c))
+                nodes.append(len(pieces))
+                whole = step[0] if len(step[0]) > len(node[0]) else ()
+                pieces.append(whole[-1][1] if whole else -1)
+                todo.append((nodes[-1], step))
+        order = np.argsort(np.array(keys, np.int64))
+        sizes = np.array([len(n) for n in self.names], np.int64)
+        return np.array(keys, np.int64)[order], np.array(nodes, np.int64)[order], np.array(pieces, np.int64), sizes
+
+    def _merged_all(self, parts: list[str]) -> list[tuple[int, ...]]:
+        """``_merged`` for many short stretches at once, position by position.
+
+        The text before a position settles its state, so of all arcs into a position exactly one
+        has weight 0; arrays hold that arc for every position of every stretch.
+        """
+        keys, nodes, pieces, sizes = self._arrays
+        length = np.fromiter(map(len, parts), np.int64, len(parts))
+        chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        part = np.repeat(np.arange(len(parts)), length)
+        end = np.repeat(np.cumsum(length), length)
+        offset = np.arange(len(chars)) - np.repeat(np.cumsum(length) - length, length)
+        # Compose: walk the tree from every position at once, noting the arcs on the way.
+        start, node, arcs = np.arange(len(chars)), np.zeros(len(chars), np.int64), []
+        known = np.zeros(len(chars), bool)
+        for depth in range(self.longest):
+            fine = start + depth < end[start]
+            start, node = start[fine], node[fine]
+            if not len(start):
+                break
+            want = node << 21 | chars[start + depth]
+            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+            fine = keys[at] == want
+            start, node = start[fine], nodes[at[fine]]
+            whole = pieces[node] >= 0
+            arcs.append((start[whole], np.full(int(whole.sum()), depth + 1), pieces[node[whole]]))
+            known[start] = True
+        start, size, piece = (np.concatenate(x) for x in zip(*arcs, strict=True))
+        # Borders are numbered so that every stretch has one more than characters.
+        border = start + part[start]
+        order = np.argsort(offset[start], kind="stable")
+        border, size, piece, turn = border[order], size[order], piece[order], offset[start][order]
+        last = np.full(len(chars) + len(parts), -2, np.int64)
+        last[np.cumsum(length) - length + np.arange(len(parts))] = -1
+        turns = np.searchsorted(turn, np.arange(int(length.max()) + 1))
+        for a, b in zip(turns, turns[1:], strict=False):
+            before = last[border[a:b]]
+            fits = before == -1
+            asked = np.flatnonzero(before >= 0)
+            fits[asked] = self._side_by_side_all(before[asked] << 32 | piece[a:b][asked])
+            last[(border[a:b] + size[a:b])[fits]] = piece[a:b][fits]
+        # Follow the arcs back from the ends.
+        at = np.cumsum(length) + np.arange(len(parts))
+        live, steps = np.arange(len(parts)), []
+        left = length.copy()
+        broken = np.zeros(len(parts), bool)
+        broken[part[~known]] = True
+        while len(live):
+            piece = last[at[live]]
+            broken[live[piece < 0]] = True
+            live, piece = live[piece >= 0], piece[piece >= 0]
+            steps.append((live, piece))
+            at[live] -= sizes[piece]
+            left[live] -= sizes[piece]
+            live = live[left[live] > 0]
+        owner = np.concatenate([x for x, _ in steps[::-1]])
+        flat = np.concatenate([x for _, x in steps[::-1]])
+        flat = flat[np.argsort(owner, kind="stable")].tolist()
+        ends = np.cumsum(np.bincount(owner, minlength=len(parts))).tolist()
+        out, a = [], 0
+        for i, b in enumerate(ends):
+            # Characters without a piece are spelled one stretch at a time.
+            out.append(self._merged(parts[i]) if broken[i] else tuple(flat[a:b]))
+            a = b
+        return out
+
     def _bytes_of(self, char: str) -> tuple[int, ...]:
         raw = char.encode()
         if all(b in self.bytes for b in raw):
@@ -343,13 +456,22 @@ def _encoded(model, text: str, names: list[str], check: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled: Model = model.value
         for batch in batches:
-            tokens, counts, same = [], [], []
-            for value in column_of(batch, text).to_pylist():
-                ids = compiled.encode(value or "")
-                tokens.append(ids)
-                counts.append(len(ids))
-                if check:
-                    same.append(None if value is None else compiled.decode(ids) == value)
+            texts = [t or "" for t in column_of(batch, text).to_pylist()]
+            tokens: list[list[int]] = []
+            while len(tokens) < len(texts):
+                first, size = len(tokens), 0
+                last = first
+                while last < len(texts) and size < _TOGETHER:
+                    size += len(texts[last])
+                    last += 1
+                tokens += compiled.encode_all(texts[first:last])
+            counts = [len(ids) for ids in tokens]
+            if check:
+                given = column_of(batch, text).is_valid().to_pylist()
+                same = [
+                    compiled.decode(ids) == t if valid else None
+                    for ids, t, valid in zip(tokens, texts, given, strict=True)
+                ]
             made = {"tokens": pa.array(tokens, pa.list_(pa.int32())), "n_tokens": pa.array(counts, pa.int64())}
             if check:
                 made["round_trip"] = pa.array(same, pa.bool_())
