@@ -134,6 +134,20 @@ def fit_ftrl(
     return Weights(keys[some], w[some], prior + float(w[-1]))
 
 
+def _counts(rows: DataFrame, label: str) -> dict[int, int]:
+    return {int(r[label]): r["count"] for r in rows.groupBy(label).count().collect()}
+
+
+def odds_shift(every: dict[int, int], taken: dict[int, int]) -> float:
+    """What to add to the log odds learned from ``taken`` rows of each class, 0 and 1, of ``every`` row.
+
+    Zero where both classes were taken at one rate, or where one is missing.
+    """
+    if not all(n.get(k) for n in (every, taken) for k in (0, 1)):
+        return 0.0
+    return float(np.log(every[1] / every[0]) - np.log(taken[1] / taken[0]))
+
+
 def _sets():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Words()
@@ -158,11 +172,13 @@ def train(
 ) -> Weights:
     """Fit on at most ``sample_per_label`` labelled documents of each class, 0 and 1.
 
-    Whole texts give the features. Labels other than 0 and 1 are not used; without
-    labelled rows all scores are one half. Documents without text may be labelled.
+    Whole texts give the features. Where the bound takes one class at a lower rate than the other, the
+    intercept is moved back to the odds of all labelled rows, so that scores mean the same at any
+    size. Labels other than 0 and 1 are not used; without labelled rows all scores are one
+    half. Documents without text may be labelled.
     """
     prepare(docs.sparkSession)
-    marked = labels.select(labels[id_name], labels[label]).where(F.col(label).isin(0, 1))
+    marked = labels.select(labels[id_name], labels[label]).where(F.col(label).isin(0, 1) & F.col(id_name).isNotNull())
     sample = labelled_sample(marked, id_name, label, sample_per_label, labels=2)
     table = with_texts(sample, docs, id_name, text, label).mapInArrow(_sets(), "id long, label int, found array<int>")
     rows = table.toArrow()
@@ -172,7 +188,9 @@ def train(
     offsets = offsets - offsets[0] if len(offsets) else offsets
     sets = [flat[offsets[i] : offsets[i + 1]] for i in order]
     marks = np.array(rows.column("label").to_pylist(), np.int64)[order]
-    return fit_ftrl(sets, marks, **how)
+    weights = fit_ftrl(sets, marks, **how)
+    weights.bias += odds_shift(_counts(marked, label), _counts(sample, label))
+    return weights
 
 
 def _scored(weights, text: str):
