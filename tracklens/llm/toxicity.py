@@ -66,11 +66,16 @@ def features(raw: bytes | None, cache: Words) -> np.ndarray:
 
 @dataclass
 class Weights:
-    """Sparse weights: sorted feature hashes, their weights, and the intercept."""
+    """Sparse weights: sorted feature hashes, their weights, and the intercept.
+
+    ``both`` is false if they were not learned from rows of both classes; their scores then
+    tell no text from another, and nothing may be rejected by them.
+    """
 
     keys: np.ndarray
     values: np.ndarray
     bias: float
+    both: bool = True
 
     def __post_init__(self):
         self.near = np.zeros(1 << 16, bool)
@@ -131,7 +136,7 @@ def fit_ftrl(
             n[at] = ni + g * g
     w = solved(z, n)
     some = np.flatnonzero(w[:-1])
-    return Weights(keys[some], w[some], prior + float(w[-1]))
+    return Weights(keys[some], w[some], prior + float(w[-1]), positive > 0 and rest > 0)
 
 
 def _counts(rows: DataFrame, label: str) -> dict[int, int]:
@@ -224,8 +229,18 @@ def learning_rows(labels: DataFrame, id_name: str, modulus: int, held: int) -> D
     return labels.where(remainder(id_name, modulus) != held)
 
 
+def predicted(weights: Weights, limit: float = 0.5):
+    """1 where ``score`` reaches ``limit``, else 0; always 0 without both classes."""
+    return ((F.col("score") >= limit) & F.lit(weights.both)).cast("int")
+
+
 def drop_toxic(docs: DataFrame, weights: Weights, text: str = "text", limit: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``limit``; columns stay the same."""
+    """The rows of ``docs`` that score below ``limit``; columns stay the same.
+
+    All rows stay if the weights were not learned from both classes.
+    """
+    if not weights.both:
+        return docs
     named = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     inner = f"c{docs.columns.index(text)}"
     return score(named, weights, inner).where(F.col("score") < limit).drop("score").toDF(*docs.columns)
