@@ -17,6 +17,7 @@ from tracklens.llm import (
     recompression,
     sentencepiece_fst,
     simhash,
+    spelling,
     toxicity,
 )
 from tracklens.llm.common import remainder
@@ -101,6 +102,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"), typo_every=31)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_sentencepiece": op2_sentencepiece,
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recompression": op8_recompression,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_spelling": op12_spelling,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
