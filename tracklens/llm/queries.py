@@ -17,6 +17,7 @@ from tracklens.llm import (
     recompression,
     sentencepiece_fst,
     simhash,
+    sketches,
     spelling,
     toxicity,
 )
@@ -106,6 +107,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), typo_every=31)
 
 
+def op13_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_sentencepiece": op2_sentencepiece,
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
     "op12_spelling": op12_spelling,
+    "op13_sketches": op13_sketches,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
