@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracklens.llm import (
     cover_tree,
+    hard_negatives,
     langid,
     line_dedup,
     mixing,
@@ -103,6 +104,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), anchor_every=50)
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(_table(spark, sf_dir, "documents"), typo_every=31)
 
@@ -122,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recompression": op8_recompression,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling": op12_spelling,
     "op13_sketches": op13_sketches,
 }
@@ -232,3 +240,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r, doc_id
 """
+
+ORACLE["op11_hard_negatives"] = """
+WITH vectors AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+), positives AS (
+  SELECT a.vec_id AS anchor_id, a.label, a.x, p.vec_id AS positive_id,
+         CAST(list_inner_product(a.x, p.x) AS BIGINT) AS positive_score
+  FROM vectors a JOIN vectors p ON a.label = p.label AND a.vec_id <> p.vec_id
+  WHERE a.vec_id % 50 = 0
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, p.vec_id) <= 5
+), scored AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id,
+         CAST(list_inner_product(p.x, n.x) AS BIGINT) AS negative_score
+  FROM positives p JOIN vectors n ON n.label <> p.label
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM scored
+WHERE 50 * positive_score <= 100 * negative_score AND 100 * negative_score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
