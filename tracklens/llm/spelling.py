@@ -10,7 +10,8 @@ surviving pivot in the other's prefix, so pivots are matched with prefixes alone
 Position limits make the match narrow. An edit before the second pivot leaves all from
 that pivot to the word's end; any other edit leaves all from the word's start to the end
 of the first pivot. So the key of a match is the pivot with the whole untouched side, and
-the length of the other word. What meets under a key is verified by edit distance.
+the length of the other word. What meets under a key is compared by the parities of its letters and
+bigrams first, in arrays, and verified by edit distance.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,6 +38,10 @@ PREFIX_GRAMS = 3
 HELD_WORDS = 1 << 18
 # Keys with more words on a side are cut into parts of so many.
 BUCKET_ROWS = 2048
+# Rows in whole keys looked at together, and pairs compared at once.
+BLOCK_ROWS = 1 << 16
+PAIRS = 1 << 20
+_LETTERS = np.uint64((1 << 24) - 1)
 
 
 def _counted(id_name: str, text: str, least: int, typo_every: int):
@@ -115,8 +122,21 @@ def _key(side: str, length: int, part: str) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def word_keys(word: str, order: dict[str, tuple[int, int]]) -> tuple[int, int, list[int], list[int], list[int]]:
-    """Last rank of the prefix, length from the second pivot on, and the keys: pivots left, right, prefix."""
+def parities(word: str) -> int:
+    """64 bits: each of the lower 24 is the parity of some letters, each other one that of some bigrams.
+
+    An edit changes two of the lower and four of the upper bits at most.
+    """
+    bits = 0
+    for c in map(ord, word):
+        bits ^= 1 << c % 24
+    for c, d in pairwise(map(ord, word)):
+        bits ^= 1 << 24 + (c * 31 + d) % 40
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
+def word_keys(word: str, order: dict[str, tuple[int, int]]) -> tuple[int, int, int, list[int], list[int], list[int]]:
+    """Last rank of the prefix, length from the second pivot on, parity, and the keys: pivots left, right, prefix."""
     size = len(word)
     grams = [(order[word[i : i + 2]], i) for i in range(size - 1)]
     last = sorted(grams)[PREFIX_GRAMS - 1][0][0]
@@ -127,19 +147,19 @@ def word_keys(word: str, order: dict[str, tuple[int, int]]) -> tuple[int, int, l
     left = [_key("l", n, word[: one + 2]) for n in lengths]
     right = [_key("r", n, word[two:]) for n in lengths]
     index = [_key("l", size, word[: i + 2]) for i, _ in prefix] + [_key("r", size, word[i:]) for i, _ in prefix]
-    return last, size - two, left, right, index
+    return last, size - two, parities(word), left, right, index
 
 
 def _keyed(order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = order.value
-        kinds = [pa.int32(), pa.int32(), *[pa.list_(pa.int64())] * 3]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.list_(pa.int64())] * 3]
         for batch in batches:
             rows = [word_keys(w, table) for w in column_of(batch, "word").to_pylist()]
-            columns = zip(*rows, strict=True) if rows else [()] * 5
+            columns = zip(*rows, strict=True) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [column_of(batch, "word"), column_of(batch, "n"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))],
-                names=["word", "n", "last", "tail", "piv_left", "piv_right", "pre"],
+                names=["word", "n", "last", "tail", "parity", "piv_left", "piv_right", "pre"],
             )
 
     return run
@@ -153,6 +173,52 @@ def _gram_order(words: DataFrame) -> dict[str, tuple[int, int]]:
     return {gram: (rank, n) for rank, (n, gram) in enumerate(ordered)}
 
 
+def _candidates(rows: pa.Table) -> pa.RecordBatch:
+    """Pivot and prefix rows that meet under a key of ``rows``, which are sorted, and may be one edit apart."""
+    key, side, last, parity = (rows.column(n).to_numpy() for n in ("key", "side", "last", "parity"))
+    parity = parity.view(np.uint64)
+    piv, pre = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    first, end = (np.searchsorted(key[pre], key[piv], at) for at in ("left", "right"))
+    piv, first, size = piv[end > first], first[end > first], (end - first)[end > first]
+    total = np.cumsum(size)
+    found = [(np.zeros(0, np.int64),) * 2]
+    at = 0
+    while at < len(piv):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+        n = size[at:to]
+        a = np.repeat(piv[at:to], n)
+        b = pre[np.arange(len(a)) + np.repeat(first[at:to] - (np.cumsum(n) - n), n)]
+        differ = parity[a] ^ parity[b]
+        near = np.flatnonzero(np.bitwise_count(differ & _LETTERS) <= 2)
+        near = near[np.bitwise_count(differ[near] & ~_LETTERS) <= 4]
+        a, b = a[near], b[near]
+        fine = last[a] <= last[b]
+        found.append((a[fine], b[fine]))
+        at = to
+    a, b = (pa.array(np.concatenate(x)) for x in zip(*found, strict=True))
+    taken = [rows.column(n).take(x).combine_chunks() for x, names in ((a, ("word", "n", "last", "tail")), (b, ("word", "n", "last"))) for n in names]
+    return pa.RecordBatch.from_arrays(taken, names=["a", "na", "la", "tail", "b", "nb", "lb"])
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, a block of whole keys at a time."""
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch.num_rows
+        if size >= BLOCK_ROWS:
+            rows = pa.Table.from_batches(held)
+            key = rows.column("key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1], "left"))
+            if cut:
+                yield _candidates(rows.slice(0, cut))
+            held, size = rows.slice(cut).combine_chunks().to_batches(), rows.num_rows - cut
+    if held:
+        yield _candidates(pa.Table.from_batches(held))
+
+
 def near_pairs(words: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``(a, na, b, nb)``: every two of ``words(word, n)`` that are one edit apart, once.
 
@@ -162,30 +228,37 @@ def near_pairs(words: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     spark = prepare(words.sparkSession)
     order = spark.sparkContext.broadcast(_gram_order(words))
     lists = "piv_left array<long>, piv_right array<long>, pre array<long>"
-    keyed = stored(words.select("word", "n").mapInArrow(_keyed(order), f"word string, n long, last int, tail int, {lists}"), "spelling-keys")
+    keyed = stored(
+        words.select("word", "n").mapInArrow(
+            _keyed(order), f"word string, n long, last int, tail int, parity long, {lists}"
+        ), "spelling-keys",
+    )
+    base = ["word", "n", "last", "parity"]
     left = F.transform("piv_left", lambda k: F.struct(k.alias("key"), F.col("tail").alias("tail")))
     right = F.transform("piv_right", lambda k: F.struct(k.alias("key"), F.lit(0).alias("tail")))
-    piv = keyed.select(
-        F.col("word").alias("a"), F.col("n").alias("na"), F.col("last").alias("la"), F.inline(F.concat(left, right))
-    )
-    pre = keyed.select(F.col("word").alias("b"), F.col("n").alias("nb"), F.col("last").alias("lb"), F.explode("pre").alias("key"))
+    piv = keyed.select(*base, F.inline(F.concat(left, right)))
+    pre = keyed.select(*base, F.explode("pre").alias("key"), F.lit(0).alias("tail"))
     sizes = pre.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
     sizes = stored(sizes, "spelling-large")
     asked = piv.select("key").join(sizes, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     parts = lambda n: F.ceil(F.col(n) / bucket_rows).cast("int")
-    large = stored(sizes.join(asked, "key").select(F.col("key").alias("k"), parts("n").alias("nb_parts"), parts("m").alias("na_parts")), "spelling-parts")
+    large = stored(sizes.join(asked, "key").select(F.col("key").alias("k"), parts("m").alias("parts0"), parts("n").alias("parts1")), "spelling-parts")
 
-    def dealt(side: DataFrame, word: str, own: str, other: str) -> DataFrame:
-        met = side.join(large, F.col("key") == F.col("k"), "left")
-        mine = F.coalesce(F.pmod(F.xxhash64(word), F.col(f"{own}_parts")).cast("int"), F.lit(0)).alias(own + "_part")
-        every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f"{other}_parts") - 1, F.lit(0)))).alias(other + "_part")
-        return met.select(*side.columns, mine, every)
+    def dealt(rows: DataFrame, side: int) -> DataFrame:
+        met = rows.join(large, F.col("key") == F.col("k"), "left")
+        own, other = F.col(f"parts{side}"), F.col(f"parts{1 - side}")
+        met = met.withColumn("mine", F.pmod(F.xxhash64("word"), own).cast("int")).withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.coalesce(other - 1, F.lit(0))))
+        )
+        pair = (F.col("mine"), F.col("other")) if side == 0 else (F.col("other"), F.col("mine"))
+        key = F.when(F.col("k").isNull(), F.col("key")).otherwise(F.xxhash64("key", *pair)).alias("key")
+        return met.select(key, F.lit(side).alias("side"), "word", "n", "last", "parity", "tail")
 
-    one, two = dealt(piv, "a", "na", "nb"), dealt(pre, "b", "nb", "na")
-    met = one.join(two, ["key", "na_part", "nb_part"])
+    rows = dealt(piv, 0).unionByName(dealt(pre, 1)).repartition("key").sortWithinPartitions("key")
+    met = rows.mapInArrow(_meet, "a string, na long, la int, tail int, b string, nb long, lb int")
     # A pair found from the right side of the word is not taken from the left again.
     again = (F.col("tail") > 0) & (F.expr("right(a, tail)") == F.expr("right(b, tail)"))
-    first = (F.col("la") < F.col("lb")) | ((F.col("la") == F.col("lb")) & (F.col("a") < F.col("b")))
+    first = (F.col("la") < F.col("lb")) | (F.col("a") < F.col("b"))
     return met.where(first & (F.levenshtein("a", "b", 1) == 1) & ~again).select("a", "na", "b", "nb")
 
 
