@@ -96,3 +96,30 @@ def test_tree_is_nested_and_covers():
             assert all(np.linalg.norm(x[r] - x[node.centre]) <= node.radius + 1e-6 for r in rows(node))
             assert all(c.radius <= node.radius / 2 + 1e-9 for c in node.children)
             todo += node.children
+
+
+@pytest.mark.parametrize("step", [6e-8, 1e-9, 1e-12, 1e-40])
+def test_near_equal_vectors_end(step):
+    """Vectors within rounding of one another, against all pairs."""
+    for seed in range(60):
+        rng = np.random.default_rng(seed)
+        centre = rng.normal(size=64)
+        x = np.repeat(centre[None], 2 if seed else 1000, axis=0)
+        x[np.arange(len(x)), rng.integers(64, size=len(x))] += step * rng.integers(1, 9, size=len(x))
+        x /= np.sqrt((x * x).sum(axis=1))[:, None]
+        x = np.unique(x, axis=0)
+        links, parts = ct.linked(x, np.arange(len(x)), None, np.ones(len(x), np.int64), 0.93)
+        assert (links == len(x) - 1).all()
+        assert (parts.root(np.arange(len(x))) == 0).all()
+
+
+def test_neighbours_in_single_precision(spark):
+    rng = np.random.default_rng(0)
+    base = rng.normal(size=64).astype(np.float32)
+    rows = []
+    for i in range(120):
+        v = base.copy()
+        v[i % 64] = np.nextafter(v[i % 64], np.float32(9 if i % 2 else -9))
+        rows.append((i, [float(c) for c in v], 1))
+    df = spark.createDataFrame([(*r, None) for r in rows], SCHEMA)
+    assert found(ct.embedding_components(df, cell_rows=50, most_pivots=3)) == plain(rows)

@@ -24,7 +24,11 @@ from tracklens.llm.components import connected_components
 CELL_ROWS = 4096
 MOST_PIVOTS = 64
 STRIP = 512
-_EPS = 1e-9
+
+
+def rounding(size: int) -> float:
+    """Most that a distance of unit vectors of ``size`` components can be off, by the root of the products' error."""
+    return 3 * float(np.sqrt((size + 2) * np.finfo(np.float64).eps))
 
 
 # ---------------------------------------------------------------- one task's trees
@@ -42,12 +46,13 @@ class Node:
 def cover_tree(x: np.ndarray) -> Node | None:
     """Tree over unit vectors ``x``. A child covers half its parent's radius.
 
-    Children's centres lie more than that half apart; the parent's centre is one of them.
+    Children's centres lie more than that half apart; the parent's centre is one of them. Where half
+    the radius is within rounding, every vector is a child.
     """
     if not len(x):
         return None
-    every = np.arange(len(x))
-    top = Node(0, float(_distance(x[every], x[0]).max()))
+    every, off = np.arange(len(x)), rounding(x.shape[1])
+    top = Node(0, float(_distance(x, x[0])[1:].max(initial=0.0)))
     todo = [(top, every)]
     while todo:
         node, rows = todo.pop()
@@ -58,8 +63,8 @@ def cover_tree(x: np.ndarray) -> Node | None:
         centre, rest = node.centre, rows
         while len(rest):
             away = _distance(x[rest], x[centre])
-            near = away <= half if half > _EPS else rest == centre
-            near |= rest == centre
+            away[rest == centre] = 0.0
+            near = away <= half if half > off else rest == centre
             child = Node(centre, float(away[near].max()))
             node.children.append(child)
             todo.append((child, rest[near]))
@@ -109,7 +114,7 @@ def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, weight: np
     Returns per row the summed weight of its partners, and the parts.
     """
     links, parts = np.zeros(len(x), np.int64), _Parts(len(x))
-    reach = np.sqrt(2.0 - 2.0 * least)
+    reach = np.sqrt(2.0 - 2.0 * least) + rounding(x.shape[1])
     a = cover_tree(x[left])
     if right is None:
         right, b = left, a
@@ -143,7 +148,7 @@ def linked(x: np.ndarray, left: np.ndarray, right: np.ndarray | None, weight: np
                 links[rows] += hit @ weight[right_rows]
                 links[right_rows] += weight[rows] @ hit
                 parts.join(rows[i], right_rows[j])
-            bound = reach + pr[at : at + STRIP, None] + qr[None, :] + _EPS
+            bound = reach + pr[at : at + STRIP, None] + qr[None, :]
             near = ~single & (dot > -2.0) & (2.0 - 2.0 * dot <= bound * bound)
             for i, j in zip(*np.nonzero(near), strict=True):
                 todo.append((
@@ -215,8 +220,8 @@ def _apart(least: float):
                 if i == j or u is None or v is None:
                     keep.append(True)
                     continue
-                d = np.linalg.norm(np.frombuffer(u) - np.frombuffer(v))
-                keep.append(bool(d <= reach + r + s + _EPS))
+                u, v = np.frombuffer(u), np.frombuffer(v)
+                keep.append(bool(np.linalg.norm(u - v) <= reach + r + s + rounding(len(u))))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["part", "c1", "c2", "n1", "n2"])
 
     return run
