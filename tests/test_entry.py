@@ -11,7 +11,7 @@ from workload.queries import QUERIES
 ROOT = Path(__file__).resolve().parents[1]
 
 
-@pytest.mark.parametrize("missing", ["xxhash", "pyarrow", "tracklens.llm", "corpus_pipeline"])
+@pytest.mark.parametrize("missing", ["xxhash", "tracklens.llm", "corpus_pipeline"])
 def test_core_queries_survive_a_failing_import(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(*e.queries())"
     said = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)

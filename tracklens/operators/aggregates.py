@@ -11,28 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklens.constants import DAY_COLUMN
 from tracklens.operators.filters import with_role
 from tracklens.operators.joins import genre_join
-
-_NEWEST_FIRST = [DAY_COLUMN, "nsp06_word_cnt", "nsp06_unique_word_cnt"]
-
-
-def newest_row(columns: Sequence[str], key: str, order: Sequence[str] | None = None) -> Column:
-    """Aggregate: the row that is greatest by ``order``, then by all columns."""
-    lead = [c for c in (order or _NEWEST_FIRST) if c in columns]
-    rest = [c for c in columns if c not in lead and c != key]
-    return F.max(F.struct(*lead, *rest))
-
+from tracklens.operators.newest import newest_keys, newest_rows
 
 def dedupe_tracks(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """One row per ``track_id``: the newest, with fixed tie-breaks."""
-    picked = df.groupBy("track_id").agg(
-        newest_row(df.columns, "track_id", order).alias("best")
-    )
-    return picked.select(
-        *["track_id" if c == "track_id" else F.col("best")[c].alias(c) for c in df.columns]
-    )
+    return newest_rows(df, newest_keys(df, order=order), order=order)
 
 
 def _counted_list(value: Column) -> Column:

@@ -1,57 +1,32 @@
-"""Row counts per stage for display.
+"""Row counts per stage.
 
-Observed counts are taken while a stage runs; if Spark runs it again after losing
-an executor, they can be too high. Counts that something depends on are taken from
-the data written and noted.
+Every count is taken from something that was written and committed, or is the result of a job. None
+comes from counters that tasks add to while they run: those count twice when a stage runs again
+after an executor is lost, and not at all when the plan drops the stage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 class Audit:
-    """Collects (stage, n) from frames that are about to be written."""
-
-    def __init__(self) -> None:
-        self._observed: dict[str, Observation] = {}
-        self._recount: dict[str, DataFrame] = {}
-        self._known: dict[str, int] = {}
-
-    def stage(
-        self, df: DataFrame, name: str, count: Column | None = None, recount: bool = False
-    ) -> DataFrame:
-        """``df`` itself; its rows (or ``count``) are noted when it first runs.
-
-        With ``recount`` a job counts ``df`` if it turned out not to be needed.
-        """
-        observation = Observation(name)
-        self._observed[name] = observation
-        if recount:
-            self._recount[name] = df
-        self._known[name] = 0
-        value = F.count("*") if count is None else F.coalesce(count, F.lit(0))
-        return df.observe(observation, value.alias("n"))
+    """(stage, n) in the order of the stages."""
+
+    def __init__(self, counts: Mapping[str, int] | None = None) -> None:
+        self._known: dict[str, int] = dict(counts or {})
 
     def note(self, name: str, n: int) -> None:
         self._known[name] = n
 
     def counts(self) -> dict[str, int]:
-        """The counts so far, in stage order; call after the write."""
-        for name, observation in self._observed.items():
-            try:
-                self._known[name] = int(observation.get["n"])
-            except Exception:  # its class differs by kind of session
-                # Spark drops a stage from the plan, and its observation with
-                # it, when the rows coming in turn out to be none.
-                self._known[name] = self._recount[name].count() if name in self._recount else 0
-        self._observed.clear()
         return dict(self._known)
 
-    def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.counts().items()), "stage string, n bigint")
+    def __getitem__(self, name: str) -> int:
+        """The count of a stage; one that nobody noted raises ``KeyError``, it is not 0."""
+        return self._known[name]
 
-
-def observed(audit: Audit | None, df: DataFrame, name: str, count: Column | None = None) -> DataFrame:
-    return df if audit is None else audit.stage(df, name, count)
+    def frame(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self._known.items()), "stage string, n bigint")

@@ -8,13 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracklens.constants import EXCLUDED_STYLE_IDS
-from tracklens.operators.aggregates import newest_row
-from tracklens.operators.filters import excluded_track_ids, normalize_key, require_key
+from tracklens.operators.filters import excluded_track_ids, normalize_key
 from tracklens.operators.joins import lyric_counts
-from tracklens.operators.skew import fits_broadcast
-from tracklens.plans.audit import Audit, observed
-from tracklens.session import apply_runtime_options
-from tracklens.sources.writers import append_positional
+from tracklens.operators.newest import newest_keys, newest_rows
+from tracklens.plans.audit import Audit
+from tracklens.session import apply_runtime_options, scratch_dir
+from tracklens.sources.writers import append_positional, materialize
 
 
 def append_source(source: DataFrame, target: str) -> None:
@@ -25,105 +24,92 @@ def append_source(source: DataFrame, target: str) -> None:
     append_positional(normalize_key(source), target)
 
 
-def refresh_target(
+def with_source(target: DataFrame, source: DataFrame) -> DataFrame:
+    """``target`` and the daily rows behind it, matched by position like an append."""
+    rows = normalize_key(source)
+    cast = [F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(rows.columns, target.schema, strict=True)]
+    return target.union(rows.select(*cast))
+
+
+def track_keys(
     target: DataFrame,
     track_all: DataFrame,
     mcp_track: DataFrame,
     style_ids: Sequence[int] = EXCLUDED_STYLE_IDS,
     lyric_key: str = "track_id",
     order: Sequence[str] | None = None,
-    audit: Audit | None = None,
 ) -> DataFrame:
-    """One row per track of ``target`` that is in no excluded style and not
-    known to have lyrics.
+    """What the refresh has to know of each track of ``target``, without its rows.
 
-    Both filters look at the track id alone. Where Spark broadcasts their sides they
-    run first. Otherwise the newest row per track is picked first, on the map side as
-    far as possible, and a track with very many rows reaches the joins as one;
-    ``n_rows`` and ``lyric_rows`` keep what the audit needs to report the counts
-    before that reduction. The rows are the same either way.
+    ``newest_keys`` and ``excluded``, whether the track is in an excluded style, ``lyric_rows``, how
+    often the plain join to the lyric table would return a row of it, and ``kept``.
     """
-    apply_runtime_options(target.sparkSession)
-    excluded = excluded_track_ids(track_all, style_ids)
-    lyric = lyric_counts(mcp_track, lyric_key)
-    small = fits_broadcast(track_all.select("track_id")) and fits_broadcast(
-        mcp_track.select(lyric_key, "lyric_yn")
-    )
-    if audit is not None:
-        # With an empty target the join never reads this side.
-        excluded = audit.stage(excluded, "excluded", recount=True)
-    if small:
-        # Filters that move no row come first: what they drop is never sorted.
-        rows = observed(audit, target, "source")
-        rows = observed(audit, rows.join(excluded, "track_id", "left_anti"), "after_style")
-        rows = observed(
-            audit, _without_lyrics(rows, lyric), "after_lyric", F.sum("lyric_rows")
-        )
-        picked = require_key(rows).groupBy("track_id").agg(
-            newest_row(target.columns, "track_id", order).alias("best")
-        )
-        return _unpacked(observed(audit, picked, "after_dedupe"), target.columns)
-    grouped = target.groupBy("track_id").agg(
-        newest_row(target.columns, "track_id", order).alias("best"),
-        F.count("*").alias("n_rows"),
-    )
-    grouped = observed(audit, grouped, "source", F.sum("n_rows"))
-    styled = grouped.join(excluded, "track_id", "left_anti")
-    styled = observed(audit, styled, "after_style", F.sum("n_rows"))
-    kept = _without_lyrics(styled, lyric)
-    kept = observed(audit, kept, "after_lyric", F.sum(F.col("n_rows") * F.col("lyric_rows")))
-    return _unpacked(observed(audit, require_key(kept), "after_dedupe"), target.columns)
-
-
-def _without_lyrics(rows: DataFrame, lyric: DataFrame) -> DataFrame:
-    """Rows with no lyric entry, or one without lyrics, and how many such there are."""
-    return (
-        rows.join(lyric, F.col("track_id") == F.col("lyric_key"), "left")
-        .withColumn("lyric_rows", F.coalesce(F.col("lyric_rows"), F.lit(1)))
-        .filter(F.col("lyric_rows") > 0)
+    excluded = excluded_track_ids(track_all, style_ids).withColumn("excluded", F.lit(True))
+    keys = newest_keys(target, order=order).join(excluded, "track_id", "left").join(
+        lyric_counts(mcp_track, lyric_key), F.col("track_id") == F.col("lyric_key"), "left"
     )
+    keys = keys.drop("lyric_key").withColumns({
+        "excluded": F.col("excluded").isNotNull(),
+        "lyric_rows": F.coalesce(F.col("lyric_rows"), F.lit(1)),
+    })
+    kept = ~F.col("excluded") & (F.col("lyric_rows") > 0) & F.col("track_id").isNotNull()
+    return keys.withColumn("kept", kept)
 
 
-def _unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return rows.select(
-        *["track_id" if c == "track_id" else F.col("best")[c].alias(c) for c in columns]
-    )
-
-
-def audit_counts(
+def refresh_target(
     target: DataFrame,
     track_all: DataFrame,
     mcp_track: DataFrame,
     style_ids: Sequence[int] = EXCLUDED_STYLE_IDS,
     lyric_key: str = "track_id",
+    order: Sequence[str] | None = None,
+    audit: Audit | None = None,
 ) -> DataFrame:
-    """(stage, n) of the refresh without running it: one pass over the keys."""
-    excluded = excluded_track_ids(track_all, style_ids)
-    keys = (
-        target.groupBy("track_id")
-        .agg(F.count("*").alias("n_rows"))
-        .join(excluded.withColumn("excluded", F.lit(True)), "track_id", "left")
-        .join(
-            lyric_counts(mcp_track, lyric_key),
-            F.col("track_id") == F.col("lyric_key"),
-            "left",
-        )
-    )
-    lyric_rows = F.coalesce(F.col("lyric_rows"), F.lit(1))
-    styled = F.col("excluded").isNull()
-    kept = styled & (lyric_rows > 0) & F.col("track_id").isNotNull()
+    """One row per track of ``target`` that is in no excluded style and not
+    known to have lyrics.
+
+    Both filters look at the track id alone, so they meet one narrow row per track, and whole
+    rows take part in a single hash join, with the keys that stay. With an ``audit`` those
+    narrow rows are written first and counted there: the counts are those of rows that were
+    committed once, however often a task ran, and nothing is worked out twice.
+    """
+    apply_runtime_options(target.sparkSession)
+    keys = track_keys(target, track_all, mcp_track, style_ids, lyric_key, order)
+    if audit is not None:
+        spark = target.sparkSession
+        keys = materialize(keys, scratch_dir(spark, "refresh"), "keys")
+        excluded = excluded_track_ids(track_all, style_ids).agg(F.count("*").alias("n"))
+        audit.note("excluded", excluded.first()["n"])
+        for row in _key_counts(keys).collect():
+            audit.note(row["stage"], row["n"])
+    return newest_rows(target, keys.where("kept"), order=order)
+
+
+def _key_counts(keys: DataFrame) -> DataFrame:
+    """(stage, n) from ``track_keys``."""
 
     def total(when, value):
         return F.coalesce(F.sum(F.when(when, value)), F.lit(0))
 
+    styled = ~F.col("excluded")
     stages = {
         "source": total(F.lit(True), F.col("n_rows")),
         "after_style": total(styled, F.col("n_rows")),
-        "after_lyric": total(styled, F.col("n_rows") * lyric_rows),
-        "after_dedupe": F.count_if(kept),
+        "after_lyric": total(styled, F.col("n_rows") * F.col("lyric_rows")),
+        "after_dedupe": F.count_if("kept"),
     }
-    sums = keys.agg(*[v.alias(s) for s, v in stages.items()])
     pairs = [F.struct(F.lit(s).alias("stage"), F.col(s).alias("n")) for s in stages]
-    return sums.select(F.inline(F.array(*pairs))).unionByName(
-        excluded.agg(F.count("*").alias("n")).select(F.lit("excluded").alias("stage"), "n")
-    )
+    return keys.agg(*[v.alias(s) for s, v in stages.items()]).select(F.inline(F.array(*pairs)))
+
+
+def audit_counts(
+    target: DataFrame,
+    track_all: DataFrame,
+    mcp_track: DataFrame,
+    style_ids: Sequence[int] = EXCLUDED_STYLE_IDS,
+    lyric_key: str = "track_id",
+) -> DataFrame:
+    """(stage, n) of the refresh without running it: one pass over the keys."""
+    excluded = excluded_track_ids(track_all, style_ids).agg(F.count("*").alias("n"))
+    keys = track_keys(target, track_all, mcp_track, style_ids, lyric_key)
+    return _key_counts(keys).unionByName(excluded.select(F.lit("excluded").alias("stage"), "n"))
