@@ -117,7 +117,7 @@ def test_append_by_position_and_by_name(spark, database):
         assert sorted(map(tuple, spark.table(f"{database}.{name}").collect())) == [(1, 2), second]
 
 
-@pytest.mark.parametrize("how", ["copy", "rename"])
+@pytest.mark.parametrize("how", ["copy", "switch"])
 def test_replace_from_itself(spark, database, how):
     target = f"{database}.target_{how}"
     spark.range(10).withColumn("yyyymmdd", F.lit("20240101")).write.partitionBy(

@@ -14,19 +14,25 @@ from tracklens.operators.joins import not_processed
 from tracklens.operators.scoring import split_errors
 from tracklens.plans.audit import Audit
 from tracklens.plans.create import create_candidates
-from tracklens.plans.refresh import append_source, refresh_target
+from tracklens.plans.ledger import Ledger
+from tracklens.plans.refresh import append_source, refresh_target, with_source
 from tracklens.plans.reports import track_statistics
 from tracklens.plans.upload import track_metrics, upload_metrics
 from tracklens.sources.readers import read_table, read_work_list
+from tracklens.sources.versions import (
+    recover,
+    replace_by_version,
+    switch_version,
+    version_tag,
+    write_version,
+)
 from tracklens.sources.writers import (
     create_table_as,
     materialize,
     replace_via_staging,
-    truncate_insert,
     write_single_csv,
 )
 
-
 # The error of an id that the transcriber gave nothing for.
 NOT_RETURNED = "not returned"
 
@@ -47,7 +53,7 @@ class DailyTables:
     threshold: float = MIN_POP_SCORE
     style_ids: Sequence[int] = field(default_factory=lambda: list(EXCLUDED_STYLE_IDS))
     lyric_key: str = "track_id"
-    replace: str = "rename"
+    replace: str = "switch"
 
 
 def run_create(spark: SparkSession, tables: DailyTables, path: str, audit: Audit) -> int:
@@ -83,6 +89,7 @@ def run_detect(
     ok, errors = split_errors(scored)
     track_metrics(ok).write.mode("overwrite").csv(f"{folder}/metrics", header=True)
     missing = not_processed(ids, scored).select("track_id", F.lit(NOT_RETURNED).alias("error"))
+    missing = materialize(missing, folder, "missing")
     failed = errors.select("track_id", "error").unionByName(missing)
     failed.write.mode("overwrite").csv(f"{folder}/errors", header=True)
     done = scored.agg(
@@ -96,30 +103,78 @@ def run_detect(
 
 
 def run_merge(
-    spark: SparkSession, tables: DailyTables, audit: Audit, source: DataFrame | None = None
+    spark: SparkSession,
+    tables: DailyTables,
+    audit: Audit,
+    source: DataFrame | None = None,
+    ledger: Ledger | None = None,
 ) -> None:
-    """Append ``source`` to the target, rebuild it filtered, publish statistics."""
+    """Put ``source`` behind the target's rows, rebuild the target filtered, publish statistics.
+
+    With ``replace="switch"`` the daily rows never enter the old target: the new one is worked out
+    from both and takes its place in one statement, so a rerun cannot add them twice. ``copy``
+    appends them first.
+    """
+    run_refresh(spark, tables, audit, source, ledger)
+    run_publish(spark, tables)
+
+
+def run_refresh(
+    spark: SparkSession,
+    tables: DailyTables,
+    audit: Audit,
+    source: DataFrame | None = None,
+    ledger: Ledger | None = None,
+) -> None:
+    """The target's part of ``run_merge``.
+
+    With a ``ledger``, a version that an earlier attempt has switched to already is left as it is.
+    """
+    recover(spark, tables.target)
+    target = read_table(spark, tables.target)
+    switch = tables.replace == "switch"
+    tag = ledger.run_id() if ledger else "v"
+    if switch and ledger and version_tag(spark, tables.target) == tag:
+        for name, n in ledger.counts("refreshed").items():
+            audit.note(name, n)
+        return
     if source is not None:
-        append_source(source, tables.target)
-    mcp_track = read_table(spark, tables.mcp_track)
+        if switch:
+            target = with_source(target, source)
+        else:
+            append_source(source, tables.target)
+            target = read_table(spark, tables.target)
+    found = Audit()
     refreshed = refresh_target(
-        read_table(spark, tables.target),
+        target,
         read_table(spark, tables.track_all),
-        mcp_track,
+        read_table(spark, tables.mcp_track),
         tables.style_ids,
         tables.lyric_key,
-        audit=audit,
+        audit=found,
     )
-    replace_via_staging(refreshed, tables.target, tables.staging, tables.replace)
+    if switch:
+        path = write_version(refreshed, tables.target, tag)
+        if ledger:
+            ledger.finish("refreshed", found.counts())
+        switch_version(spark, tables.target, path)
+    else:
+        replace_via_staging(refreshed, tables.target, tables.staging, tables.replace)
+    for name, n in found.counts().items():
+        audit.note(name, n)
+
+
+def run_publish(spark: SparkSession, tables: DailyTables) -> None:
+    """Replace the statistics by those of the present target."""
     statistics = track_statistics(
         read_table(spark, tables.target),
-        mcp_track,
+        read_table(spark, tables.mcp_track),
         read_table(spark, tables.mcp_artist),
         read_table(spark, tables.genre_map),
         read_table(spark, tables.genre),
     )
     if spark.catalog.tableExists(tables.statistics):
-        truncate_insert(statistics, tables.statistics)
+        replace_by_version(statistics, tables.statistics)
     else:
         create_table_as(statistics, tables.statistics)
 
@@ -133,29 +188,43 @@ def run_daily(
 ) -> DataFrame:
     """Run one day, by default today, and return its (stage, n) counts.
 
-    Any failure raises.
+    Any failure raises. Called again with the same ``root`` and day, it goes on behind the last step
+    that was finished, and ends with the rows and counts of a run without a failure (with
+    ``replace="switch"``); a day that is finished returns its counts. Another ``root`` runs the day anew.
 
     ``transcribe`` turns the work list (track_id) into (track_id, text,
     segments, error), for instance with ``score_batches``. Each selected id counts as
     transcribed, failed or missing. Files of the run go
     below ``root``, a folder all executors can reach. The target table exists;
-    the statistics table is created on the first run. The four parts can also
+    the statistics table is created on the first run. The parts can also
     be run one by one.
     """
     audit = Audit()
     day = day or today()
     folder = f"{root.rstrip('/')}/{day}"
+    ledger = Ledger(spark, f"{folder}/steps")
+    ledger.run_id()
+    recover(spark, tables.target)
+
+    def step(name: str, work: Callable[[Audit], object]) -> dict[str, int]:
+        counts = ledger.counts(name)
+        if counts is None:
+            found = Audit()
+            work(found)
+            counts = found.counts()
+            ledger.finish(name, counts)
+        for stage, n in counts.items():
+            audit.note(stage, n)
+        return counts
+
+    work_list = f"{folder}/work_list"
     source = None
-    if run_create(spark, tables, f"{folder}/work_list", audit):
-        run_detect(spark, f"{folder}/work_list", folder, transcribe, audit)
-        upload_metrics(
-            spark,
-            f"{folder}/metrics",
-            tables.daily,
-            day,
-            audit=audit,
-            bad_keys=f"{folder}/bad_keys",
-        )
+    if step("create", lambda a: run_create(spark, tables, work_list, a))["selected"]:
+        step("detect", lambda a: run_detect(spark, work_list, folder, transcribe, a))
+        step("upload", lambda a: upload_metrics(
+            spark, f"{folder}/metrics", tables.daily, day, audit=a, bad_keys=f"{folder}/bad_keys"
+        ))
         source = read_table(spark, tables.daily, day)
-    run_merge(spark, tables, audit, source)
+    step("refresh", lambda a: run_refresh(spark, tables, a, source, ledger))
+    step("publish", lambda a: run_publish(spark, tables))
     return audit.frame(spark)

@@ -9,6 +9,13 @@ from tracklens.sources.readers import (
     read_track_id_list,
     read_work_list,
 )
+from tracklens.sources.versions import (
+    recover,
+    replace_by_version,
+    switch_version,
+    version_tag,
+    write_version,
+)
 from tracklens.sources.writers import (
     append_by_name,
     append_positional,

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tracklens.constants import DAY_COLUMN
 from tracklens.schemas import METRICS_SCHEMA, METRICS_SRC_SCHEMA
 from tracklens.session import scratch_dir
+from tracklens.sources.versions import replace_by_version
 
 
 def write_single_csv(df: DataFrame, path: str, files: int = 1) -> int:
@@ -64,18 +65,16 @@ def append_by_name(df: DataFrame, table: str) -> None:
 def replace_via_staging(df: DataFrame, target: str, staging: str, how: str = "copy") -> None:
     """Replace ``target`` by rows that are computed from it.
 
-    Spark refuses to overwrite a table it is reading, so the rows go to
-    ``staging`` first. ``copy`` writes them again to ``target`` and leaves
-    ``staging`` as it is; ``rename`` moves the staging table into its place,
-    which writes the rows only once. The target ends unpartitioned.
+    Spark refuses to overwrite a table it is reading. ``switch`` writes the rows once, to a folder of
+    their own, and points the target there in one statement (``replace_by_version``); ``staging`` is not
+    used. ``copy`` writes them to ``staging`` and from there to ``target``, which is empty in between;
+    ``staging`` stays, and has all rows if the job dies then. The target ends unpartitioned.
     """
-    spark = df.sparkSession
-    df.write.mode("overwrite").saveAsTable(staging)
-    if how == "copy":
-        spark.table(staging).write.mode("overwrite").saveAsTable(target)
-    elif how == "rename":
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    if how == "switch":
+        replace_by_version(df, target)
+    elif how == "copy":
+        df.write.mode("overwrite").saveAsTable(staging)
+        df.sparkSession.table(staging).write.mode("overwrite").saveAsTable(target)
     else:
         raise ValueError(f"unknown way: {how}")
 
