@@ -83,16 +83,26 @@ def newest_keys(df: DataFrame, key: str = "track_id", order: Sequence[str] | Non
 
 
 def newest_rows(
-    df: DataFrame, keys: DataFrame, key: str = "track_id", order: Sequence[str] | None = None
+    df: DataFrame,
+    keys: DataFrame,
+    key: str = "track_id",
+    order: Sequence[str] | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """The newest row of each of ``keys``, some rows of ``newest_keys``; columns stay the same.
 
-    Among rows of one order number the greatest by ``order``, then by all columns, stays.
+    Among rows of one order number the greatest by ``order``, then by all columns, stays. With ``in_place``
+    the rows are joined on the key alone: those of a table in buckets by it stay where they are, and
+    so does a heavy key; NULL keys fall out then.
     """
     order = order or NEWEST_FIRST
     numbered = df.withColumn(_ORDER, order_number(df, order))
     wanted = keys.select(F.col(key).alias("__key"), F.col("top").alias("__top"), F.col("n_top").alias("__n"))
-    on = F.col(key).eqNullSafe(F.col("__key")) & (F.col(_ORDER) == F.col("__top"))
+    if in_place:
+        # A difference is no equality that rows could be dealt out by.
+        on = (F.col(key) == F.col("__key")) & (F.col(_ORDER) - F.col("__top") == 0)
+    else:
+        on = F.col(key).eqNullSafe(F.col("__key")) & (F.col(_ORDER) == F.col("__top"))
 
     def reached(some: Column) -> DataFrame:
         return numbered.join(wanted.where(some).hint("shuffle_hash"), on).select(*df.columns)

@@ -20,6 +20,7 @@ from tracklens.plans.reports import track_statistics
 from tracklens.plans.upload import track_metrics, upload_metrics
 from tracklens.sources.readers import read_table, read_work_list
 from tracklens.sources.versions import (
+    buckets_of,
     recover,
     replace_by_version,
     switch_version,
@@ -138,6 +139,8 @@ def run_refresh(
         for name, n in ledger.counts("refreshed").items():
             audit.note(name, n)
         return
+    # Behind a union Spark no longer knows of the buckets.
+    in_place = source is None and buckets_of(spark, tables.target)[1] == ["track_id"]
     if source is not None:
         if switch:
             target = with_source(target, source)
@@ -152,6 +155,7 @@ def run_refresh(
         tables.style_ids,
         tables.lyric_key,
         audit=found,
+        in_place=in_place,
     )
     if switch:
         path = write_version(refreshed, tables.target, tag)

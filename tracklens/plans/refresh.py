@@ -64,6 +64,7 @@ def refresh_target(
     lyric_key: str = "track_id",
     order: Sequence[str] | None = None,
     audit: Audit | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """One row per track of ``target`` that is in no excluded style and not
     known to have lyrics.
@@ -71,7 +72,8 @@ def refresh_target(
     Both filters look at the track id alone, so they meet one narrow row per track, and whole
     rows take part in a single hash join, with the keys that stay. With an ``audit`` those
     narrow rows are written first and counted there: the counts are those of rows that were
-    committed once, however often a task ran, and nothing is worked out twice.
+    committed once, however often a task ran, and nothing is worked out twice. With ``in_place``
+    the target is in buckets by track id and its rows are not moved.
     """
     apply_runtime_options(target.sparkSession)
     keys = track_keys(target, track_all, mcp_track, style_ids, lyric_key, order)
@@ -82,7 +84,7 @@ def refresh_target(
         audit.note("excluded", excluded.first()["n"])
         for row in _key_counts(keys).collect():
             audit.note(row["stage"], row["n"])
-    return newest_rows(target, keys.where("kept"), order=order)
+    return newest_rows(target, keys.where("kept"), order=order, in_place=in_place)
 
 
 def _key_counts(keys: DataFrame) -> DataFrame:

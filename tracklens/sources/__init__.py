@@ -10,6 +10,7 @@ from tracklens.sources.readers import (
     read_work_list,
 )
 from tracklens.sources.versions import (
+    buckets_of,
     recover,
     replace_by_version,
     switch_version,
@@ -25,6 +26,7 @@ from tracklens.sources.writers import (
     materialize,
     replace_via_staging,
     truncate_insert,
+    write_bucketed,
     write_daily,
     write_single_csv,
 )

@@ -22,8 +22,19 @@ _OLD = "__before_switch"
 
 
 def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    wanted = ("Location", "Provider", "Type", "Num Buckets", "Bucket Columns", "Sort Columns")
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] in ("Location", "Provider", "Type")}
+    return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] in wanted}
+
+
+def buckets_of(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets and their columns; 0 and none for a table without."""
+    about = _described(spark, table)
+    return int(about.get("Num Buckets", 0)), _names(about.get("Bucket Columns", ""))
+
+
+def _names(listed: str) -> list[str]:
+    return [n.strip().strip("`") for n in listed.strip("[]").split(",") if n.strip()]
 
 
 def _partitioned(spark: SparkSession, table: str) -> bool:
@@ -57,7 +68,7 @@ def write_version(df: DataFrame, table: str, tag: str = "v") -> str:
     """Write the rows of a new version of ``table`` and return their folder; the table does not change.
 
     ``df`` has the columns of the table, in any order, and may be computed from it; values are cast
-    to the table's types.
+    to the table's types. Rows of a bucketed table are written in its buckets.
     """
     spark = df.sparkSession
     now = spark.table(table).schema
@@ -65,7 +76,19 @@ def write_version(df: DataFrame, table: str, tag: str = "v") -> str:
         raise ValueError(f"a version of {table} needs its columns: {now.simpleString()}")
     about = _described(spark, table)
     path = f"{_home(about['Location'])}/{tag}-{uuid.uuid4().hex}"
-    df.select(*(F.col(f.name).cast(f.dataType) for f in now)).write.format(about["Provider"]).save(path)
+    write = df.select(*(F.col(f.name).cast(f.dataType) for f in now)).write.format(about["Provider"])
+    number, columns = buckets_of(spark, table)
+    if not number:
+        write.save(path)
+        return path
+    # Only a table can be written in buckets: this one is external, so its files stay when it goes.
+    writing = f"{table}__writing"
+    spark.sql(f"DROP TABLE IF EXISTS {writing}")
+    write = write.bucketBy(number, *columns)
+    if order := _names(about.get("Sort Columns", "")):
+        write = write.sortBy(*order)
+    write.option("path", path).saveAsTable(writing)
+    spark.sql(f"DROP TABLE {writing}")
     return path
 
 

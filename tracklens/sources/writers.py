@@ -95,6 +95,17 @@ def create_table_as(df: DataFrame, table: str) -> None:
     df.write.mode("errorifexists").saveAsTable(table)
 
 
+def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "track_id") -> None:
+    """Write a table whose rows lie in ``buckets`` parts by ``key``, one file each.
+
+    Tables with the same number of buckets by the track id, such as the target, the catalog, its lyric
+    entries (by ``b_track_id``) and the genre map, are joined and grouped by it without moving a row. A
+    number that gives files of 128 to 512 MB suits all of them; a version switch keeps the layout.
+    """
+    rows = df.repartition(buckets, key)
+    rows.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
+
+
 def ensure_metrics_table(spark: SparkSession, table: str, mode: str = "fixed") -> None:
     """Create the daily metric table unless it exists.
 
