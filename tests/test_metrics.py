@@ -151,3 +151,15 @@ def test_a_segment_without_a_time_lasts_no_time(spark):
     assert sorted(map(tuple, segment_metrics(nested).collect())) == expected
     assert sorted(map(tuple, segment_metrics_long(long, nested).collect())) == expected
     assert [r["verdict"] for r in verdict_by_duration(nested, 3.5).collect()] == [True, False]
+
+
+def test_long_metrics_read_the_segments_once(spark, tmp_path):
+    import contextlib
+    import io
+
+    path = str(tmp_path / "segments")
+    spark.sql("SELECT 1L AS track_id, 1 AS seg_no, 0D AS start_s, 2D AS end_s, 'a b' AS text, 0.1D AS no_speech_prob").write.parquet(path)
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        segment_metrics_long(spark.read.parquet(path)).explain()
+    assert said.getvalue().count("FileScan") == 1 and "SortAggregate" not in said.getvalue()

@@ -62,40 +62,45 @@ def segment_metrics_long(segments: DataFrame, tracks: DataFrame | None = None) -
     ``tracks`` (track_id, text) gives the whole texts and names tracks that have
     no segment; without it the text length is that of the segments put together.
 
-    No track's words are brought together in one place: they are counted per
-    (track, word), on the map side first, and only those counts and the segments'
-    own numbers meet on the track id, again summed up before they shuffle.
+    Each segment is read once and becomes one row of its numbers and one row per word. No track's
+    words are brought together in one place: rows are summed up per (track, word), on the map side
+    first, the numbers under no word, and only those sums meet on the track id, again summed up before
+    they shuffle.
     """
     speech = _is_speech(F.col("no_speech_prob"))
     seconds = F.col("end_s") - F.col("start_s")
-    numbers = segments.select(
-        "track_id",
-        "seg_no",
-        "end_s",
-        F.length("text").cast("bigint").alias("chars"),
-        F.when(speech, seconds).alias("spoken"),
-        F.lit(1).alias("segs"),
-        F.when(speech, 1).alias("kept"),
+    numbers = {
+        "word": F.lit(None).cast("string"),
+        "seg_no": F.col("seg_no"),
+        "end_s": F.col("end_s"),
+        "chars": F.length("text").cast("bigint"),
+        "spoken": F.when(speech, seconds),
+        "segs": F.lit(1).cast("bigint"),
+        "kept": F.when(speech, 1).cast("bigint"),
+        "times": F.lit(None).cast("bigint"),
+    }
+    own = F.struct(*[c.alias(n) for n, c in numbers.items()])
+    none = {n: F.when(F.lit(False), c) for n, c in numbers.items()}
+    words = F.coalesce(F.when(speech, tokens(F.col("text"))), F.array().cast("array<string>"))
+    each = F.transform(
+        words,
+        lambda w: F.struct(*[c.alias(n) for n, c in (none | {"word": w, "times": F.lit(1).cast("bigint")}).items()]),
     )
-    words = (
-        segments.filter(speech)
-        .select("track_id", F.explode(tokens(F.col("text"))).alias("word"))
+    sums = [F.sum(c).alias(c) for c in ("chars", "segs", "spoken", "kept", "times")]
+    last = [F.max_by("end_s", "seg_no").alias("end_s"), F.max("seg_no").alias("seg_no")]
+    counted = (
+        segments.select("track_id", F.inline(F.concat(F.array(own), each)))
         .groupBy("track_id", "word")
-        .agg(F.count("*").alias("times"))
-        .select("track_id", "times", F.lit(1).alias("uniq"))
+        .agg(*sums, *last)
     )
-    grouped = (
-        numbers.unionByName(words, allowMissingColumns=True)
-        .groupBy("track_id")
-        .agg(
-            F.sum("chars").alias("chars"),
-            F.sum("segs").alias("all_seg_cnt"),
-            F.max_by("end_s", "seg_no").alias("last_end"),
-            F.sum("spoken").alias("spoken"),
-            F.sum("kept").alias("nsp06_seg_cnt"),
-            F.sum("times").alias("nsp06_word_cnt"),
-            F.sum("uniq").alias("nsp06_unique_word_cnt"),
-        )
+    grouped = counted.groupBy("track_id").agg(
+        F.sum("chars").alias("chars"),
+        F.sum("segs").alias("all_seg_cnt"),
+        F.max_by("end_s", "seg_no").alias("last_end"),
+        F.sum("spoken").alias("spoken"),
+        F.sum("kept").alias("nsp06_seg_cnt"),
+        F.sum("times").alias("nsp06_word_cnt"),
+        F.count("word").alias("nsp06_unique_word_cnt"),
     )
     if tracks is not None:
         # Both sides have one row per track here.
