@@ -26,7 +26,7 @@ from tracklens.llm.common import column_of, prepare
 
 SPACE = "▁"
 MOST_MODEL_BYTES = 32 << 20
-_CACHE = 1 << 18
+_CACHE = 1 << 19
 # Stretches of more characters are walked one by one and not remembered.
 _SHORT = 64
 # Characters of texts that are encoded together.
@@ -64,6 +64,55 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         at += size
 
 
+class Table:
+    """A hash table of whole numbers in arrays: many keys are asked or added at once.
+
+    A key lies at its hash or in one of the next places; none holds -1.
+    """
+
+    def __init__(self, bits: int = 12):
+        self.bits, self.count, self.reach = bits, 0, 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int64)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and their values; 0 for those that are not."""
+        at = self._place(keys)
+        there, held = self.keys[at] == keys, self.values[at]
+        open_ = np.flatnonzero(~there & (self.keys[at] != -1))
+        for step in range(1, self.reach):
+            if not len(open_):
+                break
+            place = (at[open_] + step) & (len(self.keys) - 1)
+            hit = self.keys[place] == keys[open_]
+            there[open_[hit]], held[open_[hit]] = True, self.values[place[hit]]
+            open_ = open_[~hit & (self.keys[place] != -1)]
+        return there, np.where(there, held, 0)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Add keys that are distinct and not there yet."""
+        if 3 * (self.count + len(keys)) > len(self.keys):
+            old = self.keys >= 0
+            keys, values = np.concatenate([self.keys[old], keys]), np.concatenate([self.values[old], values])
+            self.__init__(max(12, int(4 * len(keys)).bit_length()))
+        self.count += len(keys)
+        at = self._place(keys)
+        for step in range(len(self.keys)):
+            self.reach = max(self.reach, step + 1)
+            place = (at + step) & (len(self.keys) - 1)
+            free = np.flatnonzero(self.keys[place] == -1)
+            first = free[np.unique(place[free], return_index=True)[1]]
+            self.keys[place[first]], self.values[place[first]] = keys[first], values[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, values, at = keys[left], values[left], at[left]
+            if not len(keys):
+                return
+
+
 class Model:
     """The compiled transducers of one model file."""
 
@@ -171,19 +220,18 @@ class Model:
                 return True
 
     def _side_by_side_all(self, pair: np.ndarray) -> np.ndarray:
-        """``side_by_side`` for packed pairs; a sorted table remembers a bounded number of them."""
-        keys, said = self.__dict__.get("_table") or (np.full(1, -1), np.zeros(1, bool))
-        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-        new = np.unique(pair[keys[at] != pair])
-        if len(new):
-            if len(keys) > 8 * _CACHE:
-                keys, said, new = np.full(1, -1), np.zeros(1, bool), np.unique(pair)
-            fits = np.array([self.side_by_side(x >> 32, x & 0xFFFFFFFF) for x in new.tolist()])
-            place = np.searchsorted(keys, new)
-            keys, said = np.insert(keys, place, new), np.insert(said, place, fits)
-            self._table = keys, said
-            at = np.searchsorted(keys, pair)
-        return said[at]
+        """``side_by_side`` for packed pairs; a table remembers a bounded number of them."""
+        table = self.__dict__.setdefault("_table", Table())
+        known, said = table.get(pair)
+        if not known.all():
+            new = np.unique(pair[~known])
+            if table.count > 8 * _CACHE:
+                table = self._table = Table()
+                new = np.unique(pair)
+            fits = np.array([self.side_by_side(x >> 32, x & 0xFFFFFFFF) for x in new.tolist()], np.int64)
+            table.add(new, fits)
+            said = table.get(pair)[1]
+        return said.astype(bool)
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k not in ("cuts", "tree", "surfaces", "_arrays", "_paths", "_pairs", "_table")}
@@ -196,10 +244,10 @@ class Model:
 
     def encode(self, text: str) -> list[int]:
         """Piece ids of a whole text."""
-        return self.encode_all([text])[0]
+        return np.frombuffer(self.encode_all([text])[0], np.int32).tolist()
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Piece ids of whole texts; equal stretches are worked out once and remembered for a while."""
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Piece ids of whole texts, four bytes each; equal stretches are worked out once and remembered for a while."""
         paths = self.__dict__.setdefault("_paths", {})
         found = [self.cuts.findall(self.normalise(t)) for t in texts]
         every = set(chain.from_iterable(found))
@@ -211,10 +259,10 @@ class Model:
         if self.kind == BPE and len(short) > 50:
             paths.update(zip(short, self._merged_all(short), strict=True))
         else:
-            paths.update((p, self._path(p)) for p in short)
+            paths.update((p, _packed(self._path(p))) for p in short)
         long = [p for p in new if len(p) > _SHORT]
-        paths.update((p, self._path(p)) for p in long)
-        out = [list(chain.from_iterable(map(paths.__getitem__, parts))) for parts in found]
+        paths.update((p, _packed(self._path(p))) for p in long)
+        out = [b"".join(map(paths.__getitem__, parts)) for parts in found]
         for p in long:
             del paths[p]
         return out
@@ -224,8 +272,8 @@ class Model:
         return self._merged(text) if self.kind == BPE else self._lightest(text)
 
     @cached_property
-    def _arrays(self) -> tuple[np.ndarray, ...]:
-        """The tree of pieces as arrays: sorted (node, char) keys, their nodes, and each node's piece."""
+    def _arrays(self) -> tuple[Table, np.ndarray, np.ndarray]:
+        """The tree of pieces as a table of (node, char) to node, each node's piece, and the pieces' sizes."""
         keys, nodes, pieces, todo = [], [], [-1], [(0, self.tree)]
         while todo:
             number, node = todo.pop()
@@ -237,17 +285,17 @@ class Model:
                 whole = step[0] if len(step[0]) > len(node[0]) else ()
                 pieces.append(whole[-1][1] if whole else -1)
                 todo.append((nodes[-1], step))
-        order = np.argsort(np.array(keys, np.int64))
-        sizes = np.array([len(n) for n in self.names], np.int64)
-        return np.array(keys, np.int64)[order], np.array(nodes, np.int64)[order], np.array(pieces, np.int64), sizes
+        table = Table()
+        table.add(np.array(keys, np.int64), np.array(nodes, np.int64))
+        return table, np.array(pieces, np.int64), np.array([len(n) for n in self.names], np.int64)
 
-    def _merged_all(self, parts: list[str]) -> list[tuple[int, ...]]:
+    def _merged_all(self, parts: list[str]) -> list[bytes]:
         """``_merged`` for many short stretches at once, position by position.
 
         The text before a position settles its state, so of all arcs into a position exactly one
         has weight 0; arrays hold that arc for every position of every stretch.
         """
-        keys, nodes, pieces, sizes = self._arrays
+        table, pieces, sizes = self._arrays
         length = np.fromiter(map(len, parts), np.int64, len(parts))
         chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         part = np.repeat(np.arange(len(parts)), length)
@@ -261,10 +309,8 @@ class Model:
             start, node = start[fine], node[fine]
             if not len(start):
                 break
-            want = node << 21 | chars[start + depth]
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            fine = keys[at] == want
-            start, node = start[fine], nodes[at[fine]]
+            fine, node = table.get(node << 21 | chars[start + depth])
+            start, node = start[fine], node[fine]
             whole = pieces[node] >= 0
             arcs.append((start[whole], np.full(int(whole.sum()), depth + 1), pieces[node[whole]]))
             known[start] = True
@@ -298,13 +344,12 @@ class Model:
             live = live[left[live] > 0]
         owner = np.concatenate([x for x, _ in steps[::-1]])
         flat = np.concatenate([x for _, x in steps[::-1]])
-        flat = flat[np.argsort(owner, kind="stable")].tolist()
-        ends = np.cumsum(np.bincount(owner, minlength=len(parts))).tolist()
-        out, a = [], 0
-        for i, b in enumerate(ends):
+        flat = flat[np.argsort(owner, kind="stable")].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(parts)))).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.flatnonzero(broken).tolist():
             # Characters without a piece are spelled one stretch at a time.
-            out.append(self._merged(parts[i]) if broken[i] else tuple(flat[a:b]))
-            a = b
+            out[i] = _packed(self._merged(parts[i]))
         return out
 
     def _bytes_of(self, char: str) -> tuple[int, ...]:
@@ -443,6 +488,10 @@ class Model:
         return "".join(out)
 
 
+def _packed(ids: tuple[int, ...]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
+
+
 def load(path: str) -> Model:
     """Compile the model file at a path of the driver; at most 32 MiB."""
     with open(path, "rb") as file:
@@ -457,7 +506,7 @@ def _encoded(model, text: str, names: list[str], check: bool):
         compiled: Model = model.value
         for batch in batches:
             texts = [t or "" for t in column_of(batch, text).to_pylist()]
-            tokens: list[list[int]] = []
+            tokens: list[bytes] = []
             while len(tokens) < len(texts):
                 first, size = len(tokens), 0
                 last = first
@@ -465,15 +514,16 @@ def _encoded(model, text: str, names: list[str], check: bool):
                     size += len(texts[last])
                     last += 1
                 tokens += compiled.encode_all(texts[first:last])
-            counts = [len(ids) for ids in tokens]
+            counts = np.fromiter((len(raw) // 4 for raw in tokens), np.int64, len(tokens))
+            flat = np.frombuffer(b"".join(tokens), np.int32)
+            ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+            made = {"tokens": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "n_tokens": pa.array(counts)}
             if check:
                 given = column_of(batch, text).is_valid().to_pylist()
                 same = [
-                    compiled.decode(ids) == t if valid else None
-                    for ids, t, valid in zip(tokens, texts, given, strict=True)
+                    compiled.decode(np.frombuffer(raw, np.int32).tolist()) == t if valid else None
+                    for raw, t, valid in zip(tokens, texts, given, strict=True)
                 ]
-            made = {"tokens": pa.array(tokens, pa.list_(pa.int32())), "n_tokens": pa.array(counts, pa.int64())}
-            if check:
                 made["round_trip"] = pa.array(same, pa.bool_())
             yield pa.RecordBatch.from_arrays(
                 [made[n] if n in made else column_of(batch, n) for n in names], names=names
