@@ -14,3 +14,4 @@ def test_nothing_is_rejected_without_both_classes(spark, tmp_path, odd, marks):
     assert kept.columns == odd.columns and kept.count() == odd.count()
     rows = QUERIES["op3_toxicity"](spark, str(tmp_path)).collect()
     assert len(rows) == odd.count() and {r.predicted for r in rows} == {0}
+    assert len({r.score for r in rows}) == 1 and rows[0].score < 0.5

@@ -13,33 +13,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklens.llm.common import column_of, prepare
-from tracklens.llm.samples import labelled_sample, with_texts
+from tracklens.llm.samples import even_sample, with_texts
 
 BUCKETS = 1 << 16
 SIZES = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 1500
-SNIPPETS, SNIPPET_WORDS = 4, 40
+SNIPPETS, SNIPPET_WORDS, SNIPPET_LETTERS = 4, 40, 64
+# Documents of all languages together.
+SAMPLE_ROWS = 96_000
+# Words of more characters are read in stretches, and not remembered.
+LONG = 4096
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of each subword of marked words, and where each word's subwords start."""
-    marked = [f"<{w}>" for w in words]
+    return _subwords([f"<{w}>" for w in words], None)
+
+
+def _subwords(marked: list[str], begun: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """The same for words with their marks; with ``begun`` only those that begin in that many first places."""
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     points = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
     ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(len(points))  # points up to the word's end
+    place = np.arange(len(points))
+    left = np.repeat(ends, sizes) - place  # points up to the word's end
+    counts = np.full(len(points), True) if begun is None else place - np.repeat(ends - sizes, sizes) < begun
     word = np.repeat(np.arange(len(marked)), sizes)
     buckets, owners = [], []
     h = np.zeros(len(points), np.uint64)
     for n in range(1, max(SIZES) + 1):
         shifted = np.zeros(len(points), np.uint64)
-        shifted[: len(points) - n + 1] = points[n - 1 :]
+        shifted[: max(0, len(points) - n + 1)] = points[n - 1 :]
         h = (h + shifted + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         if n in SIZES:
-            fine = left >= n
+            fine = (left >= n) & counts
             buckets.append((h[fine] >> np.uint64(7)) % np.uint64(BUCKETS))
             owners.append(word[fine])
     owner = np.concatenate(owners)
@@ -78,8 +88,9 @@ class Reader:
         if len(self.rows) + len(new) > self.MOST:
             self.rows.clear()
             new = list(words)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        step = max(1, (1 << 17) // max(32, max(map(len, new), default=0)))
+        for at in range(0, len(new), step):
+            part = new[at : at + step]
             buckets, starts = subwords(part)
             sums = np.add.reduceat(self.model.embeddings[buckets], starts, axis=0)
             first = len(self.rows)
@@ -89,9 +100,23 @@ class Reader:
             self.table[first : first + len(part), -1] = np.diff(np.append(starts, len(buckets)))
             self.rows.update(zip(part, range(first, first + len(part)), strict=True))
 
+    def _long(self, word: str) -> np.ndarray:
+        """Sum and number of a long word's subwords, a stretch of their beginnings at a time."""
+        marked, total = f"<{word}>", np.zeros(self.size + 1)
+        for at in range(0, len(marked), LONG):
+            buckets, _ = _subwords([marked[at : at + LONG + max(SIZES) - 1]], LONG)
+            total[:-1] += self.model.embeddings[buckets].sum(axis=0, dtype=np.float64)
+            total[-1] += len(buckets)
+        return total
+
     def mean(self, text: str) -> np.ndarray:
         words = text.lower().split()
         total = np.zeros(self.size + 1)
+        if len(text) > LONG:
+            for w in words:
+                if len(w) > LONG:
+                    total += self._long(w)
+            words = [w for w in words if len(w) <= LONG]
         # In stretches, so that a long text does not grow what is remembered.
         for at in range(0, len(words), 1 << 15):
             part = words[at : at + (1 << 15)]
@@ -173,6 +198,14 @@ def _calibrate(model: LanguageModel, bags: list, y: np.ndarray, precision: float
     model.least = float(top[order[good[-1]]]) if len(good) else 1.0
 
 
+def _stretch(word: str, rng: np.random.Generator) -> str:
+    """A long word's stretch from anywhere in it, so that scripts without spaces are learned whole."""
+    if len(word) <= SNIPPET_LETTERS:
+        return word
+    at = int(rng.integers(0, len(word) - SNIPPET_LETTERS + 1))
+    return word[at : at + SNIPPET_LETTERS]
+
+
 def _snippets():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +218,7 @@ def _snippets():
                 for k in range(SNIPPETS):
                     length = int(rng.integers(3, SNIPPET_WORDS + 1))
                     at = int(rng.integers(0, max(1, len(words) - length + 1)))
-                    piece = " ".join(w[:64] for w in words[at : at + length])
+                    piece = " ".join(_stretch(w, rng) for w in words[at : at + length])
                     if k == 0 or len(words) > length:
                         ids.append(doc)
                         marks.append(mark)
@@ -200,16 +233,18 @@ def _snippets():
 
 def train(
     docs: DataFrame, id_name: str = "doc_id", text: str = "text", lang: str = "lang",
-    sample_per_language: int = SAMPLE_PER_LANGUAGE, most_languages: int = 64, **how,
+    sample_per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS, **how,
 ) -> LanguageModel:
-    """Fit on at most ``sample_per_language`` documents of each of the ``most_languages`` commonest.
+    """Fit on at most ``sample_per_language`` documents of every language, and ``sample_rows`` in all.
 
-    Each gives at most four snippets of up to 40 words from anywhere in its text. Rows with a null id,
-    language or no letters are not used. Without rows no language can be predicted.
+    However many languages there are, each has its even share of those. Each document gives at most four
+    snippets of up to 40 words from anywhere in its text, long words by a stretch of 64 letters from anywhere
+    in them. Rows with a null id, language or no letters are not used. Without rows no language can be
+    predicted.
     """
     prepare(docs.sparkSession)
-    sample = labelled_sample(docs.select(id_name, lang), id_name, lang, sample_per_language, most_languages)
-    rows = with_texts(sample, docs, id_name, text, lang).mapInArrow(
+    sample = even_sample(docs.select(id_name, lang), id_name, lang, sample_per_language, sample_rows)
+    rows = with_texts(sample, docs, id_name, text, "label", sampled="id").mapInArrow(
         _snippets(), "id long, label string, snippet string"
     ).toArrow().sort_by([("id", "ascending"), ("snippet", "ascending")])
     return fit(rows.column("snippet").to_pylist(), rows.column("label").to_pylist(), **how)

@@ -51,7 +51,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = toxicity.train(docs, toxicity.learning_rows(labels, "doc_id", 5, 0))
     found = toxicity.score(docs.select("doc_id", "text"), weights)
     held = (remainder("doc_id", 5) == 0).alias("held_out")
-    return found.select("doc_id", held, "score", toxicity.predicted(weights).alias("predicted"))
+    return found.select("doc_id", held, "score", toxicity.predicted().alias("predicted"))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklens.llm.common import stored
@@ -34,9 +35,31 @@ def labelled_sample(rows: DataFrame, id_name: str, label: str, rows_per_label: i
     return stored(out, "sample")
 
 
-def with_texts(sample: DataFrame, docs: DataFrame, id_name: str, text: str, label: str) -> DataFrame:
-    """``(id, label, text)`` of the sampled rows; the sample is bounded, so it is broadcast."""
-    ids = sample.select(F.col(id_name).alias("__id"), F.col(label).alias("__label")).dropDuplicates(["__id"])
-    return docs.join(F.broadcast(ids), docs[id_name] == F.col("__id")).select(
-        F.col("__id").alias("id"), F.col("__label").alias("label"), docs[text].alias("text")
+def even_sample(rows: DataFrame, id_name: str, label: str, most_per_label: int, most_rows: int) -> DataFrame:
+    """``(id, label)``: up to ``most_per_label`` rows of every label, fewer if there are very many labels.
+
+    Each label gets an even share of ``most_rows``, at least one row; so all labels are there
+    unless they are more than that (then the commonest are). Rows are taken in the order of a hash of
+    the id; a label's rows are thinned out by it before they are ordered.
+    """
+    known = rows.where(F.col(id_name).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(id_name).alias("id"), F.col(label).alias("label")
     )
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(most_rows)
+    counts = stored(counts, "sample-labels")
+    share = max(1, min(most_per_label, most_rows // max(1, counts.count())))
+    draw = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 40)) / float(1 << 40)
+    drawn = known.join(counts, "label").where(draw * F.col("n") < 1.2 * share + 50)
+    place = F.row_number().over(W.partitionBy("label").orderBy(draw, "id"))
+    return stored(drawn.withColumn("place", place).where(F.col("place") <= share).select("id", "label"), "sample")
+
+
+def with_texts(sample: DataFrame, docs: DataFrame, id_name: str, text: str, label: str, sampled: str | None = None) -> DataFrame:
+    """``(id, label, text)`` of the sampled rows; the sample is bounded, so it is broadcast.
+
+    An id that was sampled with several labels has the smallest; a repeated id gives all its texts.
+    ``sampled`` is the id's name in ``sample`` if it differs.
+    """
+    ids = sample.groupBy(F.col(sampled or id_name).alias("id")).agg(F.min(label).alias("label"))
+    texts = docs.select(docs[id_name].alias("doc"), docs[text].alias("text"))
+    return texts.join(F.broadcast(ids), F.col("doc") == F.col("id")).select("id", "label", "text")

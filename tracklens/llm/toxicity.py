@@ -16,6 +16,8 @@ from tracklens.llm.common import column_of, prepare, raw_texts, remainder
 from tracklens.llm.samples import labelled_sample, with_texts
 
 SAMPLE_PER_LABEL = 2500
+# The intercept where nothing tells toxic from clean: no text is called toxic.
+UNLEARNED = -1.0
 _EDGES = b".,;:!?\"'()[]{}|*#_-<>"
 # A word counts as itself and by its beginnings of so many bytes, for inflected forms.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -179,8 +181,8 @@ def train(
 
     Whole texts give the features. Where the bound takes one class at a lower rate than the other, the
     intercept is moved back to the odds of all labelled rows, so that scores mean the same at any
-    size. Labels other than 0 and 1 are not used; without labelled rows all scores are one
-    half. Documents without text may be labelled.
+    size. Labels other than 0 and 1 are not used; an id labelled both counts as 0. Without rows of both
+    classes all scores are the same, below one half. Documents without text may be labelled.
     """
     prepare(docs.sparkSession)
     marked = labels.select(labels[id_name], labels[label]).where(F.col(label).isin(0, 1) & F.col(id_name).isNotNull())
@@ -194,6 +196,8 @@ def train(
     sets = [flat[offsets[i] : offsets[i + 1]] for i in order]
     marks = np.array(rows.column("label").to_pylist(), np.int64)[order]
     weights = fit_ftrl(sets, marks, **how)
+    if not weights.both:
+        return Weights(weights.keys[:0], weights.values[:0], UNLEARNED, False)
     weights.bias += odds_shift(_counts(marked, label), _counts(sample, label))
     return weights
 
@@ -229,9 +233,9 @@ def learning_rows(labels: DataFrame, id_name: str, modulus: int, held: int) -> D
     return labels.where(remainder(id_name, modulus) != held)
 
 
-def predicted(weights: Weights, limit: float = 0.5):
-    """1 where ``score`` reaches ``limit``, else 0; always 0 without both classes."""
-    return ((F.col("score") >= limit) & F.lit(weights.both)).cast("int")
+def predicted(limit: float = 0.5):
+    """1 where ``score`` reaches ``limit``, else 0."""
+    return (F.col("score") >= limit).cast("int")
 
 
 def drop_toxic(docs: DataFrame, weights: Weights, text: str = "text", limit: float = 0.5) -> DataFrame:
