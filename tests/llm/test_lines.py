@@ -53,3 +53,17 @@ def test_empty_table_and_clashing_columns(spark, empty):
     rows = {r.doc_id: r for r in dedup_lines(df).collect()}
     assert rows[2].text == "" and rows[2].n_dropped == 1 and rows[2].k1 == "y" and rows[2].batch == 4
     assert rows[1].text == "a line of ten" and rows[1].n_lines == 1 and rows[1].doc == 1
+
+
+def test_any_column_names(spark, odd):
+    from tracklens.llm import line_dedup, mixing
+
+    names = odd.withColumnsRenamed({"lang": "__doc", "n_chars": "__gone"}).withColumn("doc", odd.doc_id).withColumn("gone", odd.text)
+    plain = line_dedup.dedup_lines(odd)
+    got = line_dedup.dedup_lines(names)
+    assert got.columns == [*names.columns, "n_lines", "n_dropped"]
+    same = ["doc_id", "text", "n_lines", "n_dropped"]
+    assert sorted(map(repr, got.select(same).collect())) == sorted(map(repr, plain.select(same).collect()))
+    mixed = odd.withColumnsRenamed({"lang": "__d", "n_chars": "__n"}).withColumn("__s", odd.text).withColumn("copies", odd.doc_id)
+    want = mixing.mix_sources(odd).select("doc_id", "text", "source").collect()
+    assert sorted(map(repr, mixing.mix_sources(mixed).select("doc_id", "text", "source").collect())) == sorted(map(repr, want))

@@ -99,3 +99,23 @@ def test_clashing_columns(odd):
     clash = odd.withColumnsRenamed({"lang": "fp", "source": "component_id", "n_chars": "key"})
     assert simhash.simhash_components(clash).count() == odd.count()
     assert simhash.keep_one(clash.withColumn("__x", F.lit(1))).columns[-1] == "__x"
+
+
+def test_one_row_of_each_component_stays(spark):
+    """Repeated rows and ids, null ids, and column names that operators use inside."""
+    text, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    near = text.replace("w30", "x30")
+    rows = [(1, text, 1), (1, text, 2), (2, text, 3), (1, other, 4), (5, other, 5), (1, near, 6), (None, "alone here", 7), (None, "alone here", 8), (9, "", 9), (8, None, 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __kept int")
+    groups = simhash.simhash_components(df).collect()
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    prints = {plain_print(t) for _, t, _ in rows}
+    root = parts(prints, [(a, b) for a in prints for b in prints if a < b and (a ^ b).bit_count() <= 4])
+    assert len(got) == len({root[plain_print(t)] for _, t, _ in rows}) and len(groups) == len(rows)
+    by = {}
+    for d, t, _ in rows:
+        by.setdefault(root[plain_print(t)], []).append((d is None, d, t or ""))
+    assert {(r.doc_id, root[plain_print(r.text)]) for r in got} == {(min(v, key=lambda x: (x[0], x[1] or 0))[1], k) for k, v in by.items()}
+    assert simhash.keep_one(df.limit(0)).collect() == []

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,20 +49,17 @@ def narrow(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*(docs[c] for c in columns))
 
 
-def with_columns_replaced(docs: DataFrame, names: list[str]) -> list[str]:
-    """Columns of ``docs`` besides those an operator adds under the same names."""
-    return [c for c in docs.columns if c not in names]
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ..., so that none clashes with what an operator adds."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
+def number_of(docs: DataFrame, name: str) -> str:
+    """The name of a column of ``docs`` in ``numbered(docs)``."""
+    return f"c{docs.columns.index(name)}"
 
 
 def remainder(id_column: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``; null ids give 0."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % modulus, F.lit(0))
 
-
-def batches_of(
-    batches: Iterator[pa.RecordBatch], most: int
-) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``most`` rows."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, most):
-            yield batch.slice(start, most)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklens.llm.common import column_of, prepare, stored
+from tracklens.llm.common import column_of, number_of, numbered, prepare, stored
 from tracklens.llm.components import connected_components
 
 CELL_ROWS = 4096
@@ -355,6 +355,7 @@ def _rows_of(rows: DataFrame, classes: DataFrame, found: DataFrame, id_name: str
 def keep_one(vectors: DataFrame, id_name: str = "vec_id", vector: str = "embedding", label: str = "label", **how) -> DataFrame:
     """The rows of ``vectors`` that are kept; columns stay the same."""
     kept = embedding_components(vectors, id_name, vector, label, **how).where("kept").select(
-        F.col(id_name).alias("__kept")
+        F.col(id_name).alias("kept_id")
     ).distinct()
-    return vectors.join(kept, vectors[id_name].eqNullSafe(F.col("__kept")), "left_semi")
+    rows, name = numbered(vectors), number_of(vectors, id_name)
+    return rows.join(kept, rows[name].eqNullSafe(F.col("kept_id")), "left_semi").toDF(*vectors.columns)

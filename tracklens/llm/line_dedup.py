@@ -17,7 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklens.llm.common import column_of, narrow, prepare, raw_texts, stored
+from tracklens.llm.common import (
+    column_of,
+    narrow,
+    number_of,
+    numbered,
+    prepare,
+    raw_texts,
+    stored,
+)
 
 MIN_POINTS = 10
 
@@ -53,7 +61,7 @@ def _apply(text: str, least: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, lines, dropped = [], [], []
-            gone = column_of(batch, "__gone").to_pylist()
+            gone = column_of(batch, "gone").to_pylist()
             for raw, keys in zip(raw_texts(column_of(batch, text)), gone, strict=True):
                 parts = (raw or b"").split(b"\n")
                 lines.append(len(parts))
@@ -169,17 +177,15 @@ def dedup_lines(
     with the smallest id. Null and empty texts are one empty line and stay as
     they are. Rows with the same id are one document, each row keeps or loses
     the same keys; rows with a null id are one document after all others.
-    Other columns pass through, also under names used here inside; input columns
+    Other columns pass through under any names; input columns
     named ``n_lines`` or ``n_dropped`` are replaced. An empty table gives no rows.
     """
     lost = dropped_keys(docs, id_name, text, least, batches, fanout)
-    gone = lost.groupBy("doc").agg(
-        F.collect_set(F.struct("k1", "k2")).alias("__gone")
-    ).select(F.col("doc").alias("__doc"), "__gone")
-    base = docs.drop("n_lines", "n_dropped", "__doc", "__gone")
-    joined = base.join(gone, F.col("__doc").eqNullSafe(base[id_name]), "left").drop("__doc")
-    kept = [f for f in base.schema.fields]
-    schema = T.StructType(
-        kept + [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
-    )
-    return joined.mapInArrow(_apply(text, least, schema.fieldNames()), schema)
+    gone = lost.groupBy("doc").agg(F.collect_set(F.struct("k1", "k2")).alias("gone"))
+    base = docs.drop("n_lines", "n_dropped")
+    rows = numbered(base)
+    joined = rows.join(gone, F.col("doc").eqNullSafe(F.col(number_of(base, id_name))), "left").drop("doc")
+    made = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
+    schema = T.StructType(rows.schema.fields + made)
+    kept = joined.mapInArrow(_apply(number_of(base, text), least, schema.fieldNames()), schema)
+    return kept.toDF(*base.columns, "n_lines", "n_dropped")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracklens.llm.common import column_of, narrow, prepare, raw_texts, stored
+from tracklens.llm.common import column_of, narrow, number_of, numbered, prepare, raw_texts, stored
 
 BUCKET_ROWS = 2_000
 TREE_FANOUT = 64
@@ -228,17 +228,18 @@ def plan_copies(
 def mix_sources(docs: DataFrame, id_name: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """``docs`` with each row as often as the mix takes it; columns stay the same.
 
-    Rules for nulls, repeats and empty input: :func:`plan_copies`.
+    Rules for nulls, repeats, very long texts (counted whole) and empty input: :func:`plan_copies`. Columns
+    may have any names.
     """
     plan = plan_copies(docs, id_name, text, source, **how).where("copies > 0").select(
-        F.col("doc").alias("__d"), F.col("source").alias("__s"), F.col("hash").alias("__h"),
-        F.col("copies").alias("__n"),
+        F.col("doc").alias("d"), F.col("source").alias("s"), F.col("hash").alias("h"), "copies"
     )
+    rows, (doc, words, kind) = numbered(docs), (number_of(docs, n) for n in (id_name, text, source))
     match = (
-        docs[id_name].cast("long").eqNullSafe(F.col("__d"))
-        & docs[source].cast("string").eqNullSafe(F.col("__s"))
-        & (F.xxhash64(docs[text]) == F.col("__h"))
+        F.col(doc).cast("long").eqNullSafe(F.col("d"))
+        & F.col(kind).cast("string").eqNullSafe(F.col("s"))
+        & (F.xxhash64(words) == F.col("h"))
     )
-    joined = docs.join(plan, match)
-    again = joined.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-    return again.select(*docs.columns)
+    joined = rows.join(plan, match)
+    again = joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return again.select(*rows.columns).toDF(*docs.columns)

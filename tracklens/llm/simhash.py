@@ -17,10 +17,19 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklens.llm.common import column_of, narrow, prepare, raw_texts, stored
+from tracklens.llm.common import (
+    column_of,
+    narrow,
+    number_of,
+    numbered,
+    prepare,
+    raw_texts,
+    stored,
+)
 from tracklens.llm.components import connected_components
 
 SEED = 42
@@ -55,12 +64,12 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _fingerprints(id_name: str, text: str, width: int):
+def _fingerprints(names: list[str], text: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_signed(fingerprint(raw, width)) for raw in raw_texts(column_of(batch, text))]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, id_name), pa.array(found, pa.int64())], names=[id_name, "fp"]
+                [*(column_of(batch, n) for n in names), pa.array(found, pa.int64())], names=[*names, "fp"]
             )
 
     return run
@@ -70,7 +79,7 @@ def fingerprints(docs: DataFrame, id_name: str = "doc_id", text: str = "text", w
     """``(id, fp)`` with the 64-bit fingerprint as a signed long."""
     slim = narrow(docs, id_name, text)
     schema = T.StructType([slim.schema[id_name], T.StructField("fp", T.LongType())])
-    return slim.mapInArrow(_fingerprints(id_name, text, width), schema)
+    return slim.mapInArrow(_fingerprints([id_name], text, width), schema)
 
 
 def band_masks(radius: int, extra: int = 2) -> list[int]:
@@ -266,6 +275,11 @@ def simhash_components(
         raise ValueError("radius must be 0 to 15")
     prepare(docs.sparkSession)
     prints = stored(fingerprints(docs, id_name, text, width), "simhash-prints")
+    return _grouped(prints, id_name, radius, extra).drop("root")
+
+
+def _grouped(prints: DataFrame, id_name: str, radius: int, extra: int) -> DataFrame:
+    """``prints(id, fp, ...)`` with ``component_id`` and ``root``, the smallest fingerprint of the component."""
     classes = prints.groupBy("fp").agg(F.min(id_name).alias("least"))
     edges = close_edges(classes.select("fp"), radius, extra)
     roots = connected_components(edges)
@@ -274,17 +288,28 @@ def simhash_components(
     )
     placed = stored(placed, "simhash-classes")
     heads = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    names = placed.join(heads, "root").select(F.col("fp").alias("f"), "component_id")
+    names = placed.join(heads, "root").select(F.col("fp").alias("f"), "component_id", "root")
     return prints.join(names, F.col("fp") == F.col("f")).drop("f")
 
 
-def keep_one(docs: DataFrame, id_name: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; columns stay the same.
+def keep_one(
+    docs: DataFrame, id_name: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4, extra: int = 2
+) -> DataFrame:
+    """One row of each component of ``docs``; columns stay the same, and may have any names.
 
-    Of rows with that same id all stay; of components with null ids alone all rows stay.
+    It is the row with the smallest id (null ids last); among rows of that id in the component one text stays,
+    and of repeated rows one. Texts of any length are compared by their fingerprint alone. An empty table gives no rows.
     """
-    found = simhash_components(docs, id_name, text, **how)
-    keep = found.where(F.col(id_name).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_name).alias("__kept")
-    ).distinct()
-    return docs.join(keep, docs[id_name].eqNullSafe(F.col("__kept")), "left_semi")
+    rows, doc, words = numbered(docs), number_of(docs, id_name), number_of(docs, text)
+    slim = rows.select(doc, F.xxhash64(words).alias("h"), words)
+    prepare(docs.sparkSession)
+    schema = T.StructType([slim.schema[doc], T.StructField("h", T.LongType()), T.StructField("fp", T.LongType())])
+    prints = stored(slim.mapInArrow(_fingerprints([doc, "h"], words, width), schema), "simhash-prints")
+    found = _grouped(prints, doc, radius, extra)
+    first = F.min(F.struct(F.col(doc).isNull().alias("last"), doc, "fp", "h")).alias("first")
+    keep = found.groupBy("root").agg(first).select(F.col(f"first.{doc}").alias("d"), F.col("first.h").alias("t")).distinct()
+    kept = rows.join(keep, rows[doc].eqNullSafe(F.col("d")) & (F.xxhash64(words) == F.col("t")), "left_semi")
+    # Repeated rows: any of them is the same in id and text.
+    turn = W.partitionBy(doc, F.xxhash64(words)).orderBy(F.xxhash64(*rows.columns))
+    one = kept.withColumn("turn", F.row_number().over(turn)).where("turn = 1")
+    return one.select(*rows.columns).toDF(*docs.columns)
