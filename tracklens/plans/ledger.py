@@ -19,6 +19,7 @@ class Ledger:
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder.rstrip("/")
+        self._run: str | None = None
 
     def _read(self, name: str) -> list | None:
         path = f"{self._folder}/{name}"
@@ -38,6 +39,10 @@ class Ledger:
 
     def run_id(self) -> str:
         """The same for all attempts of a run, and for no other run."""
-        if not self.counts("run"):
-            self.finish("run", {uuid.uuid4().hex: 0})
-        return next(iter(self.counts("run")))
+        if self._run is None:
+            known = self.counts("run")
+            if not known:
+                known = {uuid.uuid4().hex: 0}
+                self.finish("run", known)
+            self._run = next(iter(known))
+        return self._run
