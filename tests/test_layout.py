@@ -47,7 +47,9 @@ def test_statistics_move_rows_by_artist_alone(spark, laid_out):
     assert sources.buckets_of(spark, f"{database}.target") == (6, ["track_id"])
     genre = spark.createDataFrame(plain["genre"].collect(), plain["genre"].schema)
     target = spark.table(f"{database}.target")
-    got = plans.track_statistics(target, t["mcp_track"], plain["artists"], t["genre_map"], F.broadcast(genre))
+    known = {"mcp_track": sources.known_heavy_keys(spark, f"{database}.mcp_track", "b_track_id")}
+    assert known == {"mcp_track": {}}
+    got = plans.track_statistics(target, t["mcp_track"], plain["artists"], t["genre_map"], F.broadcast(genre), heavy=known)
     by = moved(got)
     assert by and not any("hashpartitioning(track_id#" in x and "artist" not in x for x in by if "b_track_id" in x)
     assert bag(got) == bag(plans.track_statistics(kept, plain["mcp_track"], plain["artists"], plain["genre_map"], plain["genre"]))

@@ -205,17 +205,17 @@ def test_statistics_and_report(spark, no_broadcast, monkeypatch, salted):
     import tracklens.plans.reports as reports
 
     searched = []
-    search = skew.heavy_keys
+    search = skew.heavy_rows
 
     def counting(df, key, *_):
         searched.append(key)
         # Let a handful of rows count as heavy.
         return search(df, key, 6) if salted else search(df, key)
 
-    monkeypatch.setattr(skew, "heavy_keys", counting)
-    monkeypatch.setattr(reports, "heavy_keys", counting)
+    monkeypatch.setattr(skew, "heavy_rows", counting)
+    monkeypatch.setattr(reports, "heavy_rows", counting)
     if salted:
-        monkeypatch.setattr(skew.keyed_join, "__defaults__", (None, "inner", "left", None, 6))
+        monkeypatch.setattr(skew.keyed_join, "__defaults__", (None, "inner", "left", None, 6, None))
     t = catalog(spark, seed=9)
     one_each = ops.dedupe_tracks(ops.require_key(t["target"])).drop("yyyymmdd")
     got = plans.track_statistics(

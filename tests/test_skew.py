@@ -74,9 +74,9 @@ def test_more_salts_than_heavy_rows(spark, no_broadcast):
 
 
 def test_heavy_rows_reach_many_sub_keys(spark, no_broadcast):
-    from tracklens.operators.skew import _salted
+    from tracklens.operators.skew import _salted, _sub_keys
 
-    spread = _salted(facts(spark), "k", {7: 8, None: 8}, {}, "s")
+    spread = _salted(facts(spark), "k", _sub_keys(F.col("k"), {7: 8, None: 8}), F.lit(1), "s")
     for hot in (F.col("k") == 7, F.col("k").isNull()):
         assert spread.filter(hot).select("s").distinct().count() > 4
     assert spread.filter("k <> 7").select("s").distinct().count() == 1
@@ -109,7 +109,7 @@ def test_salts_follow_the_rows_of_a_key(spark):
 def test_unique_sides_are_not_searched(spark, no_broadcast, monkeypatch):
     from tracklens.operators import skew
 
-    monkeypatch.setattr(skew, "heavy_keys", lambda *_: pytest.fail("searched"))
+    monkeypatch.setattr(skew, "heavy_rows", lambda *_: pytest.fail("searched"))
     joined = keyed_join(lookup(spark), lookup(spark).toDF("k", "x"), "rk", "k", many="none")
     assert joined.count() == 1000
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"

@@ -38,7 +38,7 @@ from tracklens.operators.joins import (
 )
 from tracklens.operators.metrics import segment_metrics, segment_metrics_long
 from tracklens.operators.scoring import row_by_row, score_batches, split_errors
-from tracklens.operators.skew import expand_counts, heavy_keys, keyed_join, use_all_cores
+from tracklens.operators.skew import expand_counts, heavy_keys, heavy_rows, keyed_join, use_all_cores
 from tracklens.operators.verdict_log import parse_verdict_lines
 
 __all__ = [name for name in dir() if not name.startswith("_")]

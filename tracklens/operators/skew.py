@@ -3,20 +3,20 @@ the rows, and inputs with fewer splits than there are cores.
 
 A side that Spark broadcasts by its own size check needs no care: the rows of
 the other side stay where they are. Beyond that size the join shuffles, and a
-key with a third of all rows would end in one task. ``keyed_join`` then looks up
-the heavy keys of a side whose keys repeat (one pass over that column, no shuffle
-of rows) and spreads each over as many sub-keys as its rows need tasks. Which keys
-are found affects only speed; adaptive execution splits what is left.
+key with a third of all rows would end in one task. ``keyed_join`` then spreads the heavy
+keys of a side whose keys repeat, each over as many sub-keys as its rows need tasks. It takes
+them from the sketches that were noted when the table was written, or else plans a search that
+runs with the join (one pass over that column, no shuffle of rows). Which keys are found
+affects only speed; adaptive execution splits what is left.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracklens.session import apply_runtime_options
 
@@ -41,10 +41,8 @@ _SIZE = re.compile(r"Statistics\(sizeInBytes=([0-9.E+]+) (\w+)")
 
 def _estimated_bytes(df: DataFrame) -> float:
     """Spark's own size estimate of ``df``, as its cost explanation states it."""
-    said = io.StringIO()
-    with contextlib.redirect_stdout(said):
-        df.explain(mode="cost")
-    found = _SIZE.search(said.getvalue())
+    said = df.sparkSession.sql("EXPLAIN COST SELECT * FROM {df}", df=df).first()[0]
+    found = _SIZE.search(said)
     return float(found[1]) * _UNITS[found[2]] if found else float("inf")
 
 
@@ -60,49 +58,63 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit >= 0 and _estimated_bytes(df) <= limit
 
 
-def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_TASK) -> dict:
-    """Rows of each key that has at least ``min_rows``; NULL is a key like any other.
+def heavy_rows(df: DataFrame, key: str, min_rows: int = ROWS_PER_TASK) -> DataFrame:
+    """``(key, rows)`` of each key with at least ``min_rows``; NULL is a key like any other.
 
-    Counts come from a frequent-items sketch and may be a little low; the
-    heaviest ``1000`` keys are returned at most.
+    Counts come from a frequent-items sketch and may be a little low; the heaviest ``1000`` keys
+    are returned at most. Nothing runs yet.
     """
-    top = (
-        df.select(F.col(key).alias("k"))
-        .agg(F.expr(f"approx_top_k(k, {_RETURNED}, {_TRACKED})").alias("top"))
-        .first()["top"]
-    )
-    return {t["item"]: t["count"] for t in top or [] if t["count"] >= min_rows}
+    sketch = F.expr(f"approx_top_k(k, {_RETURNED}, {_TRACKED})").alias("top")
+    top = df.select(F.col(key).alias("k")).agg(sketch).select(F.inline("top")).toDF("key", "rows")
+    return top.where(F.col("rows") >= min_rows)
 
 
-def _in_list(key: Column, keys: list) -> Column:
-    named = [k for k in keys if k is not None]
-    return F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
+def heavy_keys(df: DataFrame, key: str, min_rows: int = ROWS_PER_TASK) -> dict:
+    """``heavy_rows`` as a dictionary, looked up now."""
+    return {r["key"]: r["rows"] for r in heavy_rows(df, key, min_rows).collect()}
+
+
+def _planned_tasks(heavy: DataFrame, rows_per_task: int) -> Column:
+    """``heavy_rows`` as one value that is worked out when the join runs: tasks of each key, and of NULL.
+
+    It is a scalar subquery, so nothing runs while the join is planned, and both sides share its result.
+    """
+    tasks = (F.ceil(F.col("rows") / rows_per_task) + 1).cast("int")
+    named = F.when(F.col("key").isNotNull(), F.struct("key", tasks.alias("n")))
+    none = F.max(F.when(F.col("key").isNull(), tasks))
+    found = heavy.agg(F.map_from_entries(F.collect_list(named)).alias("named"), none.alias("none"))
+    return found.select(F.struct("named", "none").alias("tasks")).scalar()
 
 
-def _sub_keys(key: Column, salts: dict) -> Column:
+def _sub_keys(key: Column, salts: dict | Column) -> Column:
     """The number of sub-keys of each key; 1 for those not in ``salts``."""
-    named = {k: n for k, n in salts.items() if k is not None}
-    found = F.lit(None).cast("int")
-    if named:
-        table = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
-        found = F.when(_in_list(key, list(named)), F.element_at(table, key))
-    if None in salts:
-        found = F.when(key.isNull(), F.lit(salts[None])).otherwise(found)
-    return F.coalesce(found, F.lit(1)).cast("int")
-
-
-def _salted(df: DataFrame, key: str, spread: dict, repeat: dict, name: str) -> DataFrame:
-    """``df`` with a sub-key: one of several for keys in ``spread``, every one of
-    them, on a copy each, for keys in ``repeat``, and 0 for all others."""
+    if isinstance(salts, dict):
+        pairs = [F.lit(x) for k, n in salts.items() if k is not None for x in (k, n)]
+        named = F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None)
+        none = F.lit(salts.get(None))
+    else:
+        named, none = F.try_element_at(salts["named"], key), salts["none"]
+    return F.coalesce(F.when(key.isNull(), none).otherwise(named), F.lit(1)).cast("int")
+
+
+def _repeats(key: Column, spread: dict | Column, repeat: dict | Column) -> Column:
+    """Sub-keys of the keys that are heavy on the right alone; NULL there meets nothing."""
+    return F.when(key.isNull() | (_sub_keys(key, spread) > 1), F.lit(1)).otherwise(_sub_keys(key, repeat))
+
+
+def _salted(df: DataFrame, key: str, own: Column, every: Column, name: str) -> DataFrame:
+    """``df`` with a sub-key: one of ``own``, or, where ``every`` is more than 1, each of that many on a copy."""
     # The partition number is part of the hash, so exact copies of a row spread
     # too; it is the same on a retried task, unlike a random number.
-    one = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), _sub_keys(F.col(key), spread))
+    one = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), own)
     salted = df.withColumn(name, one.cast("int"))
-    if not repeat:
-        return salted
-    every = F.sequence(F.lit(0), _sub_keys(F.col(key), repeat) - 1)
-    choice = F.when(_in_list(F.col(key), list(repeat)), every).otherwise(F.array(F.col(name)))
-    return salted.withColumn(name, F.explode(choice))
+    choice = F.when(F.col(key).isNotNull() & (every > 1), F.sequence(F.lit(0), every - 1))
+    return salted.withColumn(name, F.explode(choice.otherwise(F.array(F.col(name)))))
+
+
+def _same_order(a: T.DataType, b: T.DataType) -> bool:
+    """True if equal keys of both types are also found as one key of a map."""
+    return a == b or (isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType))
 
 
 def keyed_join(
@@ -112,15 +124,18 @@ def keyed_join(
     right_key: str | None = None,
     how: str = "inner",
     many: str = "left",
-    left_heavy: dict | None = None,
+    left_heavy: dict | DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    right_heavy: dict | DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``left_key = right_key``, keeping only the left key column.
 
     ``how`` is inner, left, left_semi or left_anti. ``many`` names the side
     (left, right or both) in which one key may repeat without bound, or none; only
-    such a side is searched. ``left_heavy`` gives the left side's heavy keys where
-    they are known already. Other column names must differ between the sides.
+    such a side is searched, when the join runs. ``left_heavy`` and ``right_heavy`` give the heavy
+    keys where they are known already (``sources.known_heavy_keys``) or searched once for several joins
+    (``heavy_rows``); without any, known rows stay in the layout they have. Keys of types that
+    Spark has to convert are left to adaptive execution. Other column names must differ between the sides.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join kind: {how}")
@@ -133,34 +148,32 @@ def keyed_join(
     right = right.withColumnRenamed(right_key or left_key, _RIGHT_KEY)
     on = F.col(left_key) == F.col(_RIGHT_KEY)
 
-    def tasks(rows: int) -> int:
-        return -(-rows // rows_per_task) + 1
+    def found(side: DataFrame, key: str, heavy: dict | DataFrame | None) -> dict | Column:
+        if isinstance(heavy, dict):
+            return {k: -(-n // rows_per_task) + 1 for k, n in heavy.items()}
+        return _planned_tasks(heavy_rows(side, key, rows_per_task) if heavy is None else heavy, rows_per_task)
 
-    spread: dict = {}
-    repeat: dict = {}
+    spread: dict | Column = {}
+    repeat: dict | Column = {}
+    alike = _same_order(left.schema[left_key].dataType, right.schema[_RIGHT_KEY].dataType)
     broadcast = fits_broadcast(right) or (how == "inner" and fits_broadcast(left))
-    if many != "none" and not broadcast:
+    if many != "none" and alike and not broadcast:
         if many != "right":
-            if left_heavy is None:
-                left_heavy = heavy_keys(left, left_key, rows_per_task)
-            spread = {k: tasks(n) for k, n in left_heavy.items()}
+            spread = found(left, left_key, left_heavy)
         if many != "left":
-            found = heavy_keys(right, _RIGHT_KEY, rows_per_task)
-            repeat = {
-                k: tasks(n) for k, n in found.items() if k is not None and k not in spread
-            }
-    if spread or repeat:
-        left = _salted(left, left_key, spread, repeat, _LEFT_SALT)
-        right = _salted(right, _RIGHT_KEY, repeat, spread, _RIGHT_SALT)
-        on = on & (F.col(_LEFT_SALT) == F.col(_RIGHT_SALT))
-
-    joined = left.join(right, on, how)
-    if repeat and how == "left":
+            repeat = found(right, _RIGHT_KEY, right_heavy)
+    if isinstance(spread, dict) and isinstance(repeat, dict) and not spread and not repeat:
+        return left.join(right, on, how).drop(_RIGHT_KEY)
+
+    ours, theirs = F.col(left_key), F.col(_RIGHT_KEY)
+    repeated = _repeats(ours, spread, repeat)
+    left = _salted(left, left_key, _sub_keys(ours, spread), repeated, _LEFT_SALT)
+    right = _salted(right, _RIGHT_KEY, _repeats(theirs, spread, repeat), _sub_keys(theirs, spread), _RIGHT_SALT)
+    joined = left.join(right, on & (F.col(_LEFT_SALT) == F.col(_RIGHT_SALT)), how)
+    if many in ("right", "both") and how == "left":
         # A heavy key does occur on the right, so a repeated left row that met
         # no partner in its sub-key is not an unmatched row.
-        joined = joined.filter(
-            ~(_in_list(F.col(left_key), list(repeat)) & F.col(_RIGHT_KEY).isNull())
-        )
+        joined = joined.filter(~((repeated > 1) & theirs.isNull()))
     return joined.drop(_RIGHT_KEY, _LEFT_SALT, _RIGHT_SALT)
 
 

@@ -18,6 +18,7 @@ from tracklens.plans.ledger import Ledger
 from tracklens.plans.refresh import append_source, refresh_target, with_source
 from tracklens.plans.reports import track_statistics
 from tracklens.plans.upload import track_metrics, upload_metrics
+from tracklens.sources.frequent import known_heavy_keys
 from tracklens.sources.readers import read_table, read_work_list
 from tracklens.sources.versions import (
     buckets_of,
@@ -176,6 +177,7 @@ def run_publish(spark: SparkSession, tables: DailyTables) -> None:
         read_table(spark, tables.mcp_artist),
         read_table(spark, tables.genre_map),
         read_table(spark, tables.genre),
+        heavy={"mcp_track": known_heavy_keys(spark, tables.mcp_track, "b_track_id")},
     )
     if spark.catalog.tableExists(tables.statistics):
         replace_by_version(statistics, tables.statistics)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ from tracklens.operators.filters import (
     stat_projection,
     without_lyrics,
 )
-from tracklens.operators.skew import fits_broadcast, heavy_keys, keyed_join
+from tracklens.operators.skew import heavy_rows, keyed_join
 from tracklens.operators.verdict_log import parse_verdict_lines
 from tracklens.sources.readers import read_logs
 
@@ -34,14 +34,17 @@ def track_statistics(
     genre_map: DataFrame,
     genre: DataFrame,
     thresholds: Sequence[int] = TIER_THRESHOLDS,
+    heavy: Mapping[str, dict] | None = None,
 ) -> DataFrame:
     """Title, vocal artists, genres, lyric flag and word tiers per track.
 
     ``target`` has one row per track, as the refresh leaves it. Genres and
     catalog entries both join on the track id and share one shuffle unless the
     entries have heavy keys; only the artists need another key. Groups without a track
-    can join nothing, so they are not made.
+    can join nothing, so they are not made. ``heavy`` gives what is known of heavy keys by table,
+    here of ``mcp_track`` (``b_track_id``); other searches run with the rows. Planning starts no job.
     """
+    heavy = heavy or {}
     tracks = target.select("track_id", "nsp06_word_cnt", "nsp06_unique_word_cnt")
     genres = track_genres(require_key(genre_map), genre)
     with_genres = keyed_join(tracks, genres, "track_id", how="left", many="none")
@@ -49,8 +52,9 @@ def track_statistics(
         F.col("track_id").alias("mcp_track_id"), "b_track_id", "track_title", "lyric_yn"
     )
     titled = keyed_join(
-        with_genres, entries, "track_id", "b_track_id", "left", many="right"
-    )
+        with_genres, entries, "track_id", "b_track_id", "left", many="right",
+        right_heavy=heavy.get("mcp_track"),
+    )
     # Tracks without a catalog entry have no artists; a hash in place of the
     # missing key keeps them from gathering in one task, and what it may meet by
     # chance is taken out again.
@@ -75,29 +79,36 @@ def candidate_report(
     threshold: float = MIN_POP_SCORE,
     genre_ids: Sequence[int | str] = REPORT_GENRE_IDS,
     whole_ids: bool = False,
+    heavy: Mapping[str, dict] | None = None,
 ) -> DataFrame:
     """Popular tracks without lyrics in the given genres, most popular first.
 
-    Genre ids match as substrings of the id list unless ``whole_ids`` is set.
+    Genre ids match as substrings of the id list unless ``whole_ids`` is set. ``heavy`` gives what is
+    known of heavy keys by table: ``track_all``, ``genre_map`` (``track_id``) and ``mcp_track``
+    (``b_track_id``); other searches run with the rows. Planning starts no job.
     """
+    heavy = heavy or {}
     pick = genre_any if whole_ids else genre_substring
     tracks = min_popularity(track_all, threshold).select("track_id", "track_nm", "pop_score")
     # Lists are made for popular tracks alone.
     wanted = keyed_join(
-        genre_map, tracks.select("track_id").distinct(), "track_id", how="left_semi"
-    )
+        genre_map, tracks.select("track_id").distinct(), "track_id", how="left_semi",
+        left_heavy=heavy.get("genre_map"),
+    )
     genres = pick(genre_listagg(wanted, genre), genre_ids).drop("genre_id_array")
-    heavy = {} if fits_broadcast(tracks) else heavy_keys(tracks, "track_id")
+    # Both joins of the tracks share one search.
+    repeated = heavy.get("track_all", heavy_rows(tracks, "track_id"))
     entries = without_lyrics(mcp_track).select(
         "b_track_id", "track_artist_name_list", "lyric_yn", "sync_lyric_yn"
     )
     rows = keyed_join(
-        keyed_join(tracks, genres, "track_id", left_heavy=heavy),
+        keyed_join(tracks, genres, "track_id", left_heavy=repeated),
         entries,
         "track_id",
         "b_track_id",
         many="both",
-        left_heavy=heavy,
+        left_heavy=repeated,
+        right_heavy=heavy.get("mcp_track"),
     )
     return rows.select(
         "track_id",

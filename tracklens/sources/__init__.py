@@ -1,5 +1,6 @@
 """Reading and writing the batch's files and tables."""
 
+from tracklens.sources.frequent import known_heavy_keys, note_heavy_keys
 from tracklens.sources.readers import (
     read_logs,
     read_metrics_csv,

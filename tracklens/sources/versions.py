@@ -48,6 +48,11 @@ def _home(location: str) -> str:
     return parent if parent.endswith(_VERSIONS) else location + _VERSIONS
 
 
+def home_of(spark: SparkSession, table: str) -> str:
+    """A folder name that stays the table's through all its versions."""
+    return _home(_described(spark, table)["Location"]).removesuffix(_VERSIONS)
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Put ``table`` back if a job died while it changed a partitioned table's definition."""
     if spark.catalog.tableExists(table + _OLD):
