@@ -169,9 +169,10 @@ class _Follower:
         last = None
         for batch in batches:
             rows = []
-            docs, texts = column_of(batch, "doc").to_pylist(), column_of(batch, "text").to_pylist()
-            part = column_of(batch, "part").to_pylist()
-            for doc, text, at in zip(docs, texts, part, strict=True):
+            docs, texts, part = (column_of(batch, n) for n in ("doc", "text", "part"))
+            # One text at a time becomes a Python string; the batch's stay in Arrow.
+            for i in range(batch.num_rows):
+                doc, text, at = docs[i].as_py(), texts[i].as_py(), part[i].as_py()
                 mine = self.sketch(text)
                 if last is None:
                     rows.append((None,) * 10 + (text, at))
@@ -205,14 +206,17 @@ def fingerprints(
     one follows itself. Null texts are empty. Texts without words have an empty fingerprint, and such texts are
     alike (1). Very long texts are whole. Other columns are not looked at. An empty table gives no rows.
 
-    One shuffle brings the rows into order by ranges of ids; a task streams over its rows and holds two texts. The
+    One shuffle brings the rows into order by ranges of ids, two for each split of the input; counting the splits, the
+    choice of ranges and the shuffle read the input each, so a costly one is best written first. A task streams over its rows and holds two texts. The
     first and last row of each partition are settled afterwards, from one row per partition.
     """
     prepare(docs.sparkSession)
     slim = docs.select(docs[id_name].cast("long").alias("doc"), F.coalesce(docs[text], F.lit("")).alias("text"))
     # Rows of one id may lie in several ranges: the hash orders them, the text settles what is left.
     rows = slim.withColumn("turn", F.xxhash64("text"))
-    placed = rows.repartitionByRange(F.col("doc").asc_nulls_first(), "turn").sortWithinPartitions(
+    # Two ranges for each split of the input: a task sorts about half a split of texts.
+    ranges = max(1, 2 * rows.rdd.getNumPartitions())
+    placed = rows.repartitionByRange(ranges, F.col("doc").asc_nulls_first(), "turn").sortWithinPartitions(
         F.col("doc").asc_nulls_first(), "turn", "text"
     )
     follower = _Follower(width, fraction, floor)
