@@ -86,3 +86,11 @@ def test_keys_of_other_types(spark, no_broadcast, kind):  # noqa: F811
     left = facts(spark)
     joined = ops.keyed_join(left, right, "k", "rk", "left", many="both", rows_per_task=100)
     assert bag(joined) == bag(left.join(right, left.k == right.rk, "left").drop("rk"))
+
+
+def test_buckets_by_a_day_are_written_and_not_noted(spark, database):
+    name = f"{database}.days"
+    days = spark.range(0, 20).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("d"))
+    sources.write_bucketed(days, name, 2, "d")
+    assert spark.table(name).count() == 20
+    assert sources.known_heavy_keys(spark, name, "d") is None

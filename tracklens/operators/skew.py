@@ -134,7 +134,7 @@ def keyed_join(
     (left, right or both) in which one key may repeat without bound, or none; only
     such a side is searched, when the join runs. ``left_heavy`` and ``right_heavy`` give the heavy
     keys where they are known already (``sources.known_heavy_keys``) or searched once for several joins
-    (``heavy_rows``); without any, known rows stay in the layout they have. Keys of types that
+    (``heavy_rows``); a side known to have none stays in the layout it has. Keys of types that
     Spark has to convert are left to adaptive execution. Other column names must differ between the sides.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):

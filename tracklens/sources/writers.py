@@ -102,11 +102,13 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "track_id
     Tables with the same number of buckets by the track id, such as the target, the catalog, its lyric
     entries (by ``b_track_id``) and the genre map, are joined and grouped by it without moving a row. A
     number that gives files of 128 to 512 MB suits all of them; a version switch keeps the layout.
-    Heavy keys are noted (``known_heavy_keys``), so that plans which know of none leave the rows in place.
+    Heavy whole numbers and strings are noted (``known_heavy_keys``), so that plans which know of none leave
+    the rows in place.
     """
     rows = df.repartition(buckets, key)
     rows.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
-    note_heavy_keys(df.sparkSession.table(table), table, key)
+    if isinstance(df.schema[key].dataType, T.IntegralType | T.StringType):
+        note_heavy_keys(df.sparkSession.table(table), table, key)
 
 
 def ensure_metrics_table(spark: SparkSession, table: str, mode: str = "fixed") -> None:
