@@ -154,3 +154,44 @@ def test_a_rare_feature_counts_as_much_as_it_was_learned_with():
     # A plain refit of what is learned: the order of scores is that of the clipped, scaled features.
     clipped = np.clip((x - x.mean(axis=0)) / np.where(x.std(axis=0) > 1e-9, x.std(axis=0), 1), -8, 8) @ ranker.weights
     assert np.allclose(ranker.strength(x), clipped)
+
+
+def test_all_pairs_of_good_and_bad_rows_count():
+    rng = np.random.default_rng(8)
+    y = (rng.random(700) < 0.8).astype(int)
+    x = np.concatenate([rng.normal(size=(700, 5)) + 0.7 * y[:, None], rng.random((700, 2)) < 0.3], axis=1)
+    ranker = ranking.fit_pairs(x, y, l2=1e-3)
+    z = ranker.scaled(x)
+    good, bad = z[y == 1], z[y == 0]
+
+    def slope(w):
+        lost = 1 / (1 + np.exp((good @ w)[:, None] - (bad @ w)[None, :]))
+        return (bad.T @ lost.sum(axis=0) - good.T @ lost.sum(axis=1)) / lost.size + 1e-3 * w
+
+    assert np.abs(slope(ranker.weights)).max() < 2e-3 < 2e-2 < np.abs(slope(np.zeros(7))).max()
+    again = ranking.fit_pairs(x, y, l2=1e-3, pairs=50)
+    assert np.allclose(again.weights, ranker.weights)
+
+    # The threshold parts all rows as well as any cut between two of them.
+    s = ranker.strength(x)
+    right = lambda kept: kept[y == 1].mean() + (~kept[y == 0]).mean()
+    best = max(right(s >= t) for t in s)
+    assert abs(right(ranker.score(x) >= ranking.LIMIT) - best) < 1e-9
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    rng = np.random.default_rng(9)
+    texts = [" ".join(["word."] * int(rng.integers(1, 9)) + ["x"] * int(rng.integers(0, 3 + 3 * (i % 2)))) for i in range(7000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS quality")
+    ranker = ranking.train(docs, labels)
+    x = ranking.expand(np.array([ranking.measures(t.encode()) for t in texts]))
+    assert np.allclose(ranker.mean, x.mean(axis=0)) and np.allclose(ranker.spread[x.std(axis=0) > 0.01], x.std(axis=0)[x.std(axis=0) > 0.01])
+    same = ranking.fit_pairs(x, np.arange(7000) % 2)
+    assert np.allclose(ranker.strength(x), same.strength(x), atol=1e-6) and abs(ranker.cut - same.cut) < 1e-3
+    # Texts that were measured before give the same.
+    found = ranking.measured(docs)
+    assert np.allclose(ranking.train(found, labels, found="measures").strength(x), ranker.strength(x), atol=1e-6)
+    one, two = ranking.score(docs, ranker), ranking.score(found, ranker, found="measures")
+    assert two.columns == ["doc_id", "measures", "score"]
+    assert {r.doc_id: r.score for r in one.collect()} == {r.doc_id: r.score for r in two.collect()}

@@ -22,7 +22,7 @@ from tracklens.llm import (
     spelling,
     toxicity,
 )
-from tracklens.llm.common import remainder
+from tracklens.llm.common import remainder, stored
 
 # The tokenizer model of the encoding query.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -75,9 +75,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    ranker = ranking.train(docs, toxicity.learning_rows(labels, "doc_id", 5, 0))
-    found = ranking.score(docs.select("doc_id", "text"), ranker)
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    # Texts are measured once, for learning and for scoring.
+    docs = stored(ranking.measured(docs), "measured")
+    ranker = ranking.train(docs, toxicity.learning_rows(labels, "doc_id", 5, 0), found="measures")
+    found = ranking.score(docs, ranker, found="measures")
     held = (remainder("doc_id", 5) == 0).alias("held_out")
     predicted = (F.col("score") >= ranking.LIMIT).cast("int").alias("predicted")
     return found.select("doc_id", held, "score", predicted)

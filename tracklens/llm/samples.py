@@ -63,3 +63,13 @@ def with_texts(sample: DataFrame, docs: DataFrame, id_name: str, text: str, labe
     ids = sample.groupBy(F.col(sampled or id_name).alias("id")).agg(F.min(label).alias("label"))
     texts = docs.select(docs[id_name].alias("doc"), docs[text].alias("text"))
     return texts.join(F.broadcast(ids), F.col("doc") == F.col("id")).select("id", "label", "text")
+
+
+def with_labels(labels: DataFrame, docs: DataFrame, id_name: str, text: str, label: str) -> DataFrame:
+    """``(id, label, text)`` of all labelled documents; Spark chooses the join.
+
+    Ids as in ``with_texts``: with several labels the smallest counts, a repeated id gives all its texts.
+    """
+    ids = labels.groupBy(F.col(id_name).alias("id")).agg(F.min(label).alias("label"))
+    texts = docs.select(docs[id_name].alias("doc"), docs[text].alias("text"))
+    return texts.join(ids, F.col("doc") == F.col("id")).select("id", "label", "text")
