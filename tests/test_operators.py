@@ -266,3 +266,42 @@ def test_a_failing_batch_fails_only_its_bad_rows(spark):
     assert {r["track_id"]: r["y"] for r in ok.collect()} == {0: 0, 1: 1, 2: 2, 5: 5}
     bad = {r["track_id"]: r["error"] for r in errors.collect()}
     assert bad[3] == "RuntimeError: bad batch" and bad[4].startswith("ArrowInvalid") and len(bad) == 2
+
+
+def test_failed_rows_do_not_hold_their_batch(spark):
+    import gc
+    import weakref
+
+    from tracklens.operators import scoring
+
+    class Text:
+        pass
+
+    def make():
+        def score(record):
+            try:
+                raise KeyError("inner")
+            except KeyError as e:
+                raise ValueError("no model") from e
+
+        return score
+
+    records = [{"text": Text()} for _ in range(4)]
+    seen = [weakref.ref(r["text"]) for r in records]
+    gc.disable()
+    try:
+        found = scoring._tried(ops.row_by_row(make)(), records)
+        del records
+        # Neither the errors nor a cycle of frames and lists keeps a record.
+        assert [f"{e}" for e in found] == ["no model"] * 4 and isinstance(found[0].__cause__, KeyError)
+        assert all(r() is None for r in seen)
+    finally:
+        gc.enable()
+
+
+def test_batches_of_long_texts_are_scored_in_parts(spark):
+    df = spark.range(0, 24, 1, 1).select(F.col("id").alias("track_id"), F.expr("repeat('x', 1000000 + id)").alias("text"))
+    make = lambda: lambda records: [{"n": len(records), "size": len(r["text"])} for r in records]
+    got = ops.score_batches(df, make, "n int, size long").collect()
+    assert sorted((r.track_id, r["size"]) for r in got) == [(i, 1_000_000 + i) for i in range(24)]
+    assert max(r.n for r in got) <= 5

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 RowScorer = Callable[[dict], dict]
+# Bytes of a batch that are records at a time: as Python objects they take several times that.
+_SLICE_BYTES = 4 * 1024 * 1024
 # Gives a result per record, in order; an exception in place of one marks that row.
 Scorer = Callable[[list[dict]], list[dict | Exception]]
 
@@ -45,16 +47,35 @@ def _values(column: pa.Array) -> list:
     return column.to_pylist()
 
 
+def _bare(found: dict | Exception) -> dict | Exception:
+    """Errors without their stack: its frames hold the batch, and a list in them the errors in turn."""
+    left = [found] if isinstance(found, Exception) else []
+    while left:
+        e = left.pop()
+        if e is not None and e.__traceback__:
+            e.__traceback__ = None
+            left += [e.__cause__, e.__context__]
+    return found
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in equal parts of some ``_SLICE_BYTES``; a row is never cut."""
+    parts = max(1, min(batch.num_rows, -(-batch.nbytes // _SLICE_BYTES)))
+    rows = max(1, -(-batch.num_rows // parts))
+    for at in range(0, max(1, batch.num_rows), rows):
+        yield batch.slice(at, rows)
+
+
 def _tried(scorer: Scorer, records: list[dict]) -> list[dict | Exception]:
     """Results for ``records``; a batch that fails as a whole is halved until its bad rows stand alone."""
     try:
-        found = list(scorer(records))
+        found = [_bare(f) for f in scorer(records)]
         if len(found) != len(records):
             raise ValueError(f"{len(found)} results for {len(records)} records")
         return found
     except Exception as e:
         if len(records) == 1:
-            return [e]
+            return [_bare(e)]
         half = len(records) // 2
         return _tried(scorer, records[:half]) + _tried(scorer, records[half:])
 
@@ -96,7 +117,8 @@ def score_batches(
     records that returns as many results (``row_by_row`` makes one from a function of
     a single record). If a batch fails, its halves are scored, and theirs, so k bad rows among n
     cost some 2 k log n calls; a failing row gets the message in ``error`` and NULLs elsewhere, and the others go on. Keys
-    pass through as they are, and whole numbers and NULLs reach the scorer as such.
+    pass through as they are, and whole numbers and NULLs reach the scorer as such. Batches with
+    more than 4 MiB of values are scored in parts, so long texts do not fill memory.
     ``partitions`` deals the rows out anew where scoring is far dearer than
     reading. Lists of floats arrive as NumPy arrays; with long ones, set
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` so that a batch fits memory.
@@ -119,7 +141,7 @@ def score_batches(
         return held[call]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             columns = [_values(c) for c in batch.columns]
             records = [dict(zip(batch.schema.names, row)) for row in zip(*columns, strict=True)]
             found = _tried(scorer_here(), records) if records else []
