@@ -150,3 +150,18 @@ def test_use_all_cores(spark):
     assert use_all_cores(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert use_all_cores(one, bytes_per_core=1).rdd.getNumPartitions() == 1
     assert use_all_cores(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == 1
+
+
+def test_a_task_is_given_few_shuffled_bytes(spark):
+    from tracklens.operators.skew import _bytes
+    from tracklens.session import MOST_ADVISORY
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, kept in (("64MB", MOST_ADVISORY), ("1m", 1024**2)):
+            spark.conf.set(name, given)
+            keyed_join(facts(spark), lookup(spark), "k", "rk")
+            assert _bytes(spark.conf.get(name)) == kept
+    finally:
+        spark.conf.set(name, before)

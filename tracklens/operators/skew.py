@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklens.session import apply_runtime_options
+from tracklens.session import size_setting as _bytes
 
 # The sketch tracks this many keys, and at most this many are ever returned, so
 # the list brought to the driver is bounded whatever the table's size.
@@ -46,12 +47,6 @@ def _estimated_bytes(df: DataFrame) -> float:
     return float(found[1]) * _UNITS[found[2]] if found else float("inf")
 
 
-def _bytes(text: str) -> int:
-    """Bytes of a size setting such as ``10485760b``, ``10MB`` or ``-1``."""
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
-    return int(number) * 1024 ** " kmgtp".index(unit or " ")
-
-
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Spark's own size estimate lets it broadcast ``df``."""
     limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -17,7 +18,13 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-# Submit-time sizes for a production batch, for ``SparkSession.builder``.
+# Partitions are joined up to this many shuffled bytes at most. Rows of ids shrink to some 9 bytes each on
+# the way, but a task that sorts and counts them takes 200 to 400 for each.
+MOST_ADVISORY = 8 * 1024 * 1024
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+# Submit-time sizes for a production batch, for ``SparkSession.builder``. Plans lower the first one to
+# ``MOST_ADVISORY``.
 BATCH_OPTIONS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256mb",
     "spark.sql.files.maxPartitionBytes": "256mb",
@@ -25,9 +32,17 @@ BATCH_OPTIONS = {
 }
 
 
+def size_setting(text: str) -> int:
+    """Bytes of a size setting such as ``10485760b``, ``10MB`` or ``-1``."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit or " ")
+
+
 def apply_runtime_options(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_OPTIONS.items():
         spark.conf.set(key, value)
+    if size_setting(spark.conf.get(_ADVISORY)) > MOST_ADVISORY:
+        spark.conf.set(_ADVISORY, f"{MOST_ADVISORY}b")
     return spark
 
 
